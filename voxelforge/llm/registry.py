@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from voxelforge.llm import exact_dedup, packing
+from voxelforge.llm import chat, exact_dedup, packing, quality, secrets
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op7_chat": chat.op7_chat,
+    "op8_quality": quality.op8_quality,
+    "op9_secrets": secrets.op9_secrets,
     "op10_packing": packing.op10_packing,
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op7_chat": chat.OP7_SQL,
+    "op9_secrets": secrets.OP9_SQL,
 }
