@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from voxelforge.llm import chat, exact_dedup, packing, quality, secrets
+from voxelforge.llm import chat, exact_dedup, mixing, packing, quality, secrets
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op6_mixing": mixing.op6_mixing,
     "op7_chat": chat.op7_chat,
     "op8_quality": quality.op8_quality,
     "op9_secrets": secrets.op9_secrets,
