@@ -6,8 +6,10 @@ balances tokens and documents: the flight phase moves three undecided documents
 at a time along the null-space of the two constraints until one of them is
 decided, so that the sums of tokens and of documents stay as they are. Blocks of
 a source fly on their own, at most two documents each stay undecided, and these
-fly again as one; the last two of a source land on the corner nearest in tokens.
-Large documents fly first, so that those left to land are small.
+fly again as one. About RESERVE documents of a block, and then of a source, don't
+fly: with the last undecided ones they are the landing problem, solved by
+exchanges for the corner nearest to the expected tokens and documents. So a
+single long document that stays undecided can be weighed up by others.
 
 A block is a stream over sorted rows with three of them in hand, so that neither
 a large source nor a large block needs memory. What is drawn follows from ids
@@ -33,6 +35,8 @@ from voxelforge.session import cut, table
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 #: Most that a target is of its source's size; weights by the source's rank; documents in a block.
 MOST, WEIGHTS, BLOCK = 3.0, (1, 2, 3), 20_000
+#: Documents that are kept for the landing, as expected; at most four times as many are.
+RESERVE = 32
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -84,6 +88,7 @@ class Flight:
 
     def __init__(self, seed: int) -> None:
         self.held: list[list] = []
+        self.kept: list[list] = []
         self.rng = np.random.default_rng(seed)
         self.draws: list[float] = []
 
@@ -93,12 +98,15 @@ class Flight:
             self.draws = self.rng.random(4096).tolist()
         return self.draws.pop()
 
-    def add(self, unit: list) -> list[list]:
+    def add(self, unit: list, reserve: bool) -> list[list]:
         """Takes a unit in; gives back those that are decided."""
+        if not 0.0 < unit[0] < 1.0:
+            return [unit]
+        if reserve and len(self.kept) < 4 * RESERVE:
+            self.kept.append(unit)
+            return []
         out = []
         self.held.append(unit)
-        if not 0.0 < unit[0] < 1.0:
-            return [self.held.pop()]
         while len(self.held) == 3:
             out += self.move()
         return out
@@ -119,13 +127,33 @@ class Flight:
         self.held = [u for u in self.held if 0.0 < u[0] < 1.0]
         return done
 
+    def undecided(self) -> list[list]:
+        """What is left."""
+        return self.held + self.kept
+
     def land(self) -> list[list]:
-        """Decides what is left: the corner nearest to the expected tokens."""
-        left, self.held = self.held, []
-        want = sum(u[0] * u[1] for u in left)
-        best = min(range(1 << len(left)), key=lambda m: (abs(sum(u[1] for i, u in enumerate(left) if m >> i & 1) - want), m))
-        for i, u in enumerate(left):
-            u[0] = float(best >> i & 1)
+        """Decides what is left: from a systematic draw, exchanges of one or two units while they bring the sums nearer."""
+        left = self.undecided()
+        if not left:
+            return left
+        p, size = np.array([u[0] for u in left]), np.array([float(u[1]) for u in left])
+        x = np.diff(np.floor(np.cumsum(p) + self.draw()), prepend=np.floor(0.0))
+        x = np.clip(x, 0, 1)
+        scale = max(1.0, float(size.mean()))
+        while True:
+            tokens, count = float((size * (x - p)).sum()), float((x - p).sum())
+            d = 1 - 2 * x
+            t, n = tokens + (d * size)[:, None] + (d * size)[None, :], count + d[:, None] + d[None, :]
+            np.fill_diagonal(t, tokens + d * size)
+            np.fill_diagonal(n, count + d)
+            cost = np.abs(t) / scale + 0.01 * np.abs(n)
+            i, j = np.unravel_index(int(cost.argmin()), cost.shape)
+            if cost[i, j] >= abs(tokens) / scale + 0.01 * abs(count) - 1e-9:
+                break
+            for k in {i, j}:
+                x[k] = 1 - x[k]
+        for u, v in zip(left, x.tolist(), strict=True):
+            u[0] = v
         return left
 
 
@@ -143,12 +171,12 @@ def fly(rows: DataFrame, landing: bool) -> DataFrame:
                 key = (row[at["src"]], row[at["block"]])
                 if key != stream:
                     if flight:
-                        out += flight.land() if landing else flight.held
+                        out += flight.land() if landing else flight.undecided()
                     stream, flight = key, Flight(row[at["seed"]] & (2**63 - 1))
-                out += flight.add([row[at["p"]], row[at["size"]], row])
+                out += flight.add([row[at["p"]], row[at["size"]], row], row[at["reserve"]])
             yield as_batch(out, schema)
         if flight:
-            yield as_batch(flight.land() if landing else flight.held, schema)
+            yield as_batch(flight.land() if landing else flight.undecided(), schema)
 
     def as_batch(units: list[list], schema: pa.Schema) -> pa.RecordBatch:
         columns = list(zip(*(u[2][: at["p"]] + (u[0],) + u[2][at["p"] + 1 :] for u in units), strict=True)) or [()] * len(names)
@@ -169,14 +197,23 @@ def mix(docs: DataFrame, most: float = MOST, block: int = BLOCK) -> DataFrame:
         .withColumn("ratio", ratio)
         .withColumn("order", order)
         .withColumn("block", F.pmod(F.xxhash64("order", F.lit(7)), F.ceil(F.col("n_docs") / block)))
+        .withColumn("reserve", F.pmod(F.xxhash64("order", F.lit(11)), F.greatest(F.lit(1), F.floor(F.least("n_docs", F.lit(block)) / RESERVE))) == 0)
+        .withColumn("blocks", F.ceil(F.col("n_docs") / block))
         .withColumn("whole", F.floor("ratio"))
         .withColumn("p", (F.col("ratio") - F.col("whole")).cast("double"))
         .withColumn("seed", F.xxhash64("src", "block"))
-        .select(*KEY, "doc_id", "src", "block", "order", "seed", "size", "source_size", "target", "whole", "p")
+        .select(*KEY, "doc_id", "src", "block", "order", "seed", "reserve", "blocks", "size", "source_size", "target", "whole", "p")
     )
     flown = cut(fly(units, landing=False))
     open_ = (F.col("p") > 0) & (F.col("p") < 1)
-    landed = fly(flown.where(open_).withColumn("block", F.lit(-1).cast("long")).withColumn("seed", F.xxhash64("src")), landing=True)
+    rest = flown.where(open_).withColumns(
+        {
+            "block": F.lit(-1).cast("long"),
+            "seed": F.xxhash64("src"),
+            "reserve": F.col("reserve") & (F.pmod(F.xxhash64("order", F.lit(13)), F.col("blocks")) == 0),
+        }
+    )
+    landed = fly(rest, landing=True)
     return (
         flown.where(~open_)
         .unionByName(landed)
