@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from voxelforge.llm import chat, exact_dedup, mixing, packing, quality, secrets
+from voxelforge.llm import chat, exact_dedup, licenses, lines, mixing, packing, quality, secrets
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_lines": lines.op4_lines,
     "op6_mixing": mixing.op6_mixing,
     "op7_chat": chat.op7_chat,
     "op8_quality": quality.op8_quality,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op4_lines": lines.OP4_SQL,
     "op7_chat": chat.OP7_SQL,
     "op9_secrets": secrets.OP9_SQL,
 }
