@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from voxelforge.llm import chat, exact_dedup, licenses, lines, mixing, packing, quality, secrets
+from voxelforge.llm import chat, exact_dedup, licenses, lines, mixing, packing, quality, secrets, suffixes
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_lines": lines.op4_lines,
+    "op5_suffixes": suffixes.op5_suffixes,
     "op6_mixing": mixing.op6_mixing,
     "op7_chat": chat.op7_chat,
     "op8_quality": quality.op8_quality,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Stands for a null id in keys.
-NO_ID = -(2**63)
+#: Stands for a null id in keys, after all others.
+NO_ID = 2**63 - 1
 KEY = ["_k1", "_k2"]
 
 
