@@ -1 +1 @@
-"""See the modules of this package."""
+"""Operators: each a function from DataFrames to a DataFrame."""
