@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from voxelforge.llm import chat, exact_dedup, licenses, lines, mixing, packing, quality, secrets, suffixes
+from voxelforge.llm import chat, exact_dedup, licenses, lines, mixing, near_dedup, packing, quality, secrets, suffixes
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_lines": lines.op4_lines,
     "op5_suffixes": suffixes.op5_suffixes,
