@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voxelforge.llm.idset import texts_of
 from voxelforge.llm.rows import KEY, text_or_empty, with_key
 from voxelforge.llm.words import mix, text_groups
 from voxelforge.session import cut, table
@@ -237,8 +238,7 @@ def halves(docs: DataFrame, going: DataFrame) -> DataFrame:
                 )
 
     wanted = going.where(F.size("going") > 0).select(*KEY, "going")
-    texts = with_key(docs).select(*KEY, text_or_empty().cast("binary").alias("text")).join(wanted, KEY)
-    return texts.select(*KEY, "text", "going").mapInArrow(run, "half long, _k1 long, _k2 long, first long, offset int, body binary")
+    return texts_of(docs, wanted).select(*KEY, "text", "going").mapInArrow(run, "half long, _k1 long, _k2 long, first long, offset int, body binary")
 
 
 def later_windows(rows: DataFrame) -> DataFrame:
@@ -309,7 +309,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     found = cut(repeats(docs))
-    texts = with_key(docs).select(*KEY, text_or_empty().cast("binary").alias("text")).join(found, KEY).select(*KEY, "text", "spans", "starts")
+    texts = texts_of(docs, found).select(*KEY, "text", "spans", "starts")
     return texts.mapInArrow(
         run, "_k1 long, _k2 long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_text binary, kept_sha256 string"
     )
@@ -318,8 +318,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to repeated strings, and the digest of what it keeps."""
     docs = table(spark, sf_dir, "documents")
-    lost = remove_repeats(docs).groupBy(*KEY).agg(
-        F.max("n_removed").alias("lost"), F.max(F.size("spans")).alias("runs"), F.max("kept_sha256").alias("left_sha256")
+    lost = remove_repeats(docs).select(
+        *KEY, F.col("n_removed").alias("lost"), F.size("spans").alias("runs"), F.col("kept_sha256").alias("left_sha256")
     )
     whole = with_key(docs).select(
         *KEY, F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text_or_empty()).cast("long").alias("n_bytes"),
