@@ -1,24 +1,53 @@
-"""The corpus pipeline: quality rules, exact dedup, near-dedup, mixing, packing."""
+"""The corpus pipeline: quality rules, exact dedup, near-dedup, mixing, packing.
+
+Every stage takes (spark, docs, sf_dir), docs being what its predecessor kept,
+and works on all of it. All but the last return rows with the columns of docs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxelforge.llm import exact_dedup, packing
+from voxelforge.llm import exact_dedup, mixing, near_dedup, packing, quality
 from voxelforge.session import table
 
+#: Near-duplicates: words in a shingle and percent of similarity.
+WORDS, PERCENT = 5, 80
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts stays, that with the smallest id."""
     return exact_dedup.drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that with the smallest id."""
+    return near_dedup.drop_near(docs, WORDS, PERCENT)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them."""
+    return mixing.take(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document."""
+    """Pieces of every document, with their ids."""
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", exact_stage), ("packing", packing_stage)]
+STAGES = [
+    ("quality rules", quality_stage),
+    ("exact dedup", exact_stage),
+    ("near-dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+#: Robust estimates, hashed buckets, balanced sampling and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -116,8 +116,8 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def grouped(stats: DataFrame) -> DataFrame:
-    """The rows that count for the estimates, with the group whose estimate they take as `grp`."""
+def grouped(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that count for the estimates, with the group whose estimate they take as `grp`; that group by `narrow`."""
     sizes = stats.where("NOT base_failed").groupBy("wide", "narrow").count()
     wide = sizes.groupBy("wide").agg(F.sum("count").alias("n_wide"))
     which = sizes.join(wide, "wide").select(
@@ -196,8 +196,8 @@ def verdicts(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; of rows that share id and text, all that docs has of the key once."""
-    return keep_rows(docs, verdicts(docs).where("kept").select(*KEY).distinct())
+    """The rows that stay, repeats too, with all their columns."""
+    return keep_rows(docs, verdicts(docs).where("kept").select(*KEY).distinct(), once=False)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

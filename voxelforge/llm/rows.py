@@ -15,34 +15,33 @@ def text_or_empty() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    """Adds the key under which a row's decision is found: its id and a digest of its text.
+def key_columns() -> list[Column]:
+    """The key under which a row's decision is found: its id and a digest of its text.
 
     Rows that agree in both are repeats of one document and share a decision.
     """
-    return docs.withColumns(
-        {"_k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_k2": F.xxhash64(text_or_empty())}
-    )
-
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k1"), F.xxhash64(text_or_empty()).alias("_k2")]
 
-def first_of_repeats(keyed: DataFrame) -> DataFrame:
-    """One row of each key; which of them is fixed by the other columns.
 
-    Spark cuts each key to one row before the shuffle, so that a key with many
-    repeats doesn't gather anywhere.
-    """
-    others = [F.col(f"`{c}`") for c, kind in keyed.dtypes if c not in (*KEY, "text") and not kind.startswith(("map", "variant"))]
-    w = Window.partitionBy(*KEY).orderBy(*(others or [F.lit(0)]))
-    return keyed.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+def with_key(docs: DataFrame) -> DataFrame:
+    """The columns of documents with the key."""
+    return docs.select(*key_columns(), *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in KEY])
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of docs with a decision (columns _k1, _k2, unique), one for each key.
+def keep_rows(docs: DataFrame, decisions: DataFrame, once: bool = True) -> DataFrame:
+    """Rows of docs with a decision (columns _k1 and _k2, unique), with all their columns.
 
-    With a column _copies, a row comes back that many times.
+    once: of repeats one stays, the first by its other columns; Spark cuts each
+    key to one row before the shuffle, so that a key with many repeats doesn't
+    gather anywhere. With a column _copies, a row comes back that many times.
+    The columns travel as one struct, so that their names can't clash.
     """
-    columns = docs.columns
-    out = first_of_repeats(with_key(docs)).join(decisions, KEY)
+    rows = docs.select(*key_columns(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    if once:
+        order = [F.col("_row").getField(c) for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+        w = Window.partitionBy(*KEY).orderBy(*(order or [F.lit(0)]))
+        rows = rows.withColumn("_nth", F.row_number().over(w)).where("_nth = 1")
+    out = rows.join(decisions, KEY)
     if "_copies" in decisions.columns:
         out = out.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return out.select(*[F.col(f"`{c}`") for c in columns])
+    return out.select("_row.*")
