@@ -1 +1 @@
-"""See the modules of this package."""
+"""State over append-only logs, in batch and as streams."""
