@@ -114,11 +114,11 @@ NUMBER = r"[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?"
 def correlations(log: Column, begin: str, end: str) -> Column:
     """(plain, about_mean) between two markers that occur once each, each value once; else null."""
     once = (F.size(F.split(log, begin, -1)) == 2) & (F.size(F.split(log, end, -1)) == 2)
-    body = F.split(F.split(log, begin, -1)[1], end, -1)[0]
+    body = F.get(F.split(F.get(F.split(log, begin, -1), F.lit(1)), end, -1), F.lit(0))
     plain = F.regexp_extract_all(body, F.lit(rf"(?i)(?<!about mean )correlation\s*=\s*({NUMBER})"), 1)
     mean = F.regexp_extract_all(body, F.lit(rf"(?i)correlation about mean\s*=\s*({NUMBER})"), 1)
     one = once & (F.size(plain) == 1) & (F.size(mean) == 1)
-    return F.when(one, F.struct(plain[0].cast("double").alias("plain"), mean[0].cast("double").alias("about_mean")))
+    return F.when(one, F.struct(F.get(plain, F.lit(0)).cast("double").alias("plain"), F.get(mean, F.lit(0)).cast("double").alias("about_mean")))
 
 
 TRANSIENT = r"\.(cif|map|mrc)$|\.(cif|map|mrc)\.tmp\."

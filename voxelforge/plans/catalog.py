@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxelforge.session import table
+from voxelforge.plans import filtering, scalars, selection, spatial, state  # noqa: F401  they register their queries
+from voxelforge.plans.registry import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keep-list of the map-level filter."""
-    return table(spark, sf_dir, "region")
+    return filtering.map_filter_keep_list(spark, sf_dir)
