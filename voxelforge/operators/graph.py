@@ -91,10 +91,10 @@ def local_scalars(paths: DataFrame, key: list[str], hops: int = 3) -> DataFrame:
 
 def ring_count(edges: DataFrame, key: list[str]) -> DataFrame:
     """(key..., rings): edges less nodes plus connected parts, the number of independent rings."""
-    ids = F.struct(*key, "src"), F.struct(*key, "dst")
+    node = lambda c: F.to_json(F.struct(*key, F.col(c).alias("_node")))
     one = edges.select(*key, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
     nodes = one.select(*key, "src").union(one.select(*key, "dst")).distinct().groupBy(*key).agg(F.count("*").alias("v"))
-    parts = connected_components(one.select(ids[0].alias("src"), ids[1].alias("dst")).select(F.to_json("src").alias("src"), F.to_json("dst").alias("dst")))
+    parts = connected_components(one.select(node("src").alias("src"), node("dst").alias("dst")))
     each = parts.select("component").distinct().select(F.from_json("component", edges.select(*key).schema).alias("k")).select("k.*").groupBy(*key).agg(F.count("*").alias("c"))
     return one.groupBy(*key).agg(F.count("*").alias("e")).join(nodes, key).join(each, key).select(*key, (F.col("e") - F.col("v") + F.col("c")).alias("rings"))
 
