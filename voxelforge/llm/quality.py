@@ -37,7 +37,7 @@ SMALL = 100
 #: Share of rows in the half-sample; concentration steps; accuracy of quantile sketches.
 SHARE, STEPS, ACCURACY = 0.75, 3, 10_000
 #: Transformed statistics, with the standard deviation that each has at least.
-FEATURES = {"x0": 0.10, "x1": 0.05, "x2": 0.10, "x3": 0.05}
+FEATURES = {"x0": 0.10, "x1": 0.10, "x2": 0.10, "x3": 0.08}
 #: Distance over which a row is rejected.
 LIMIT = 12.0
 NAMES = list(FEATURES)
@@ -109,7 +109,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         {
             "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
             "x0": F.log(F.greatest("word_chars", F.lit(1)) / words),
-            "x1": F.sqrt(F.col("n_symbols") / F.greatest("word_chars", F.lit(1))),
+            "x1": F.sqrt(F.col("n_symbols") / words),
             "x2": F.sqrt(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))),
             "x3": F.sqrt(F.col("n_repeat_words") / words),
         }
