@@ -250,3 +250,13 @@ def test_density(spark):
     rows = [("flat", z, y, x, 1.0) for z in range(2) for y in range(2) for x in range(2)] + [("ok", z, y, x, float(z + y + x + 1)) for z in range(2) for y in range(2) for x in range(2)] + [("zero", 0, 0, 0, 0.0), ("nan", 0, 0, 0, float("nan")), ("thin", 0, 0, 0, 1.0), ("thin", 0, 0, 1, 2.0)]
     got = {r["map_id"]: r["code"] for r in gates.density_faults(spark.createDataFrame(rows, "map_id string, z int, y int, x int, value double")).collect()}
     assert got == {"flat": "zero_variance", "zero": "all_zero", "nan": "nonfinite", "thin": "inactive_axis"}
+
+
+def test_process_rows(spark):
+    rows = spark.createDataFrame([(1, 0, 5, ["python3", "/x/score.py"]), (2, 1, 6, ["bash", "-"]), (3, 1, 7, ["ls"])], "pid long, ppid long, start_ticks long, args array<string>")
+    import hashlib
+
+    got = {r["pid"]: (r["category"], r["blocked"]) for r in gates.process_rows(rows, "score.py", "recover.py").collect()}
+    assert got == {1: ("stage", True), 2: ("opaque", True), 3: (None, False)}
+    excepted = gates.process_rows(rows, "score.py", "recover.py", (2, 1, 6, hashlib.sha256(b"bash\x00-").hexdigest()))
+    assert {r["pid"]: r["blocked"] for r in excepted.collect()} == {1: True, 2: False, 3: False}

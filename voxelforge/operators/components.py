@@ -17,9 +17,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     edges are reduced to their minimum before they move. Loops are nodes alone.
     """
     a, b = F.col(src), F.col(dst)
-    pairs = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
+    pairs = cut(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL").distinct())
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v"))
-    now = cut(pairs.where("u < v").distinct())
+    now = pairs.where("u < v")
     seen = None
     while True:
         # Large star: a node's larger neighbours go to the smallest of it and its neighbours.
@@ -35,6 +35,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if seen == tuple(state):
             break
         seen = tuple(state)
-    return nodes.distinct().join(now.select(F.col("v").alias("node"), F.col("u").alias("component")), "node", "left").select(
+    found = nodes.distinct().join(now.select(F.col("v").alias("node"), F.col("u").alias("component")), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )
+    return cut(found)

@@ -267,12 +267,12 @@ def header_risks(headers: DataFrame, target: float) -> DataFrame:
     return told.withColumn("risk_codes", codes)
 
 
-def process_rows(rows: DataFrame, exception: tuple[int, int, int, str] | None = None) -> DataFrame:
-    """Adds category by command token (stage, recovery, opaque for an interpreter that reads its input) and blocked;
+def process_rows(rows: DataFrame, stage: str, recovery: str, exception: tuple[int, int, int, str] | None = None) -> DataFrame:
+    """Adds category by script name (stage, recovery, opaque for an interpreter that reads its input) and blocked;
     one process may be excepted, by pid, parent, start and digest of its arguments."""
-    line = F.array_join("args", " ")
+    runs = lambda script: F.exists("args", lambda a: F.substring_index(a, "/", -1) == script)
     opaque = F.exists("args", lambda a: a == "-") & F.get("args", F.lit(0)).rlike("python[0-9.]*$|(ba)?sh$")
-    kind = F.when(line.rlike(r"(^|[/ ])f_quality\.py"), "stage").when(line.rlike(r"(^|[/ ])f_scratch_recovery\.py"), "recovery").when(opaque, "opaque")
+    kind = F.when(runs(stage), "stage").when(runs(recovery), "recovery").when(opaque, "opaque")
     told = rows.withColumn("category", kind).withColumn("args_sha256", F.sha2(F.array_join("args", "\x00"), 256))
     free = F.lit(False)
     if exception:
