@@ -260,3 +260,17 @@ def test_process_rows(spark):
     assert got == {1: ("stage", True), 2: ("opaque", True), 3: (None, False)}
     excepted = gates.process_rows(rows, "score.py", "recover.py", (2, 1, 6, hashlib.sha256(b"bash\x00-").hexdigest()))
     assert {r["pid"]: r["blocked"] for r in excepted.collect()} == {1: True, 2: False, 3: False}
+
+
+def test_exact_quantiles_against_numpy(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 257)) for v in np.round(rnd.normal(size=n), 1)] + [("c", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r["g"]: r["quantiles"] for r in quality.exact_quantiles(df, "v", ["g"], [0.0, 0.01, 0.5, 0.95, 1.0]).collect()}
+    for g in "abc":
+        assert got[g] == pytest.approx(np.quantile([v for k, v in rows if k == g and v is not None], [0.0, 0.01, 0.5, 0.95, 1.0]).tolist())
+    told = {r["g"]: r for r in quality.distribution(df, "v", ["g"]).collect()}
+    assert (told["c"]["n_finite"], told["c"]["n_null"], told["d"]["quantiles"]) == (257, 1, [])
+    assert quality.distribution(spark.createDataFrame([], "v double"), "v").count() == 0

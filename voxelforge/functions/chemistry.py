@@ -87,3 +87,8 @@ def is_positive(c: Column) -> Column:
 def failure_kind(code: Column) -> Column:
     """known, tool, or other for anything else."""
     return F.when(code.isin(X.KNOWN_FAILURES), "known").when(code.isin(X.TOOL_FAILURES), "tool").otherwise("other")
+
+
+def nan_equal(a: Column, b: Column) -> Column:
+    """Whether two numbers are the same, two NaN or two nulls too."""
+    return a.eqNullSafe(b)

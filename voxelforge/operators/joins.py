@@ -150,3 +150,9 @@ def symmetric_difference(left: DataFrame, right: DataFrame, columns: list[str])
 def condition(c: Column, text: str) -> Column:
     """An error with the text wherever the condition fails."""
     return F.when(c, F.lit(True)).otherwise(F.raise_error(F.lit(text)))
+
+
+def audited_entries(audits: DataFrame, index: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Each entry of an audited map with the entry's status: one map stands for several entries."""
+    entries = index.select("emdb_id", F.explode("pdb_ids").alias("pdb_id"))
+    return audits.join(entries, "emdb_id").join(statuses.select("pdb_id", "status"), "pdb_id", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelforge.functions import fixed as X
 from voxelforge.functions.chemistry import is_finite
+from voxelforge.operators.select import place_of
 
 
 @dataclass(frozen=True)
@@ -107,25 +108,49 @@ def describe(config: FilterConfig) -> dict:
     return asdict(config)
 
 
+def exact_quantiles(rows: DataFrame, column: str, by: list[str], quantiles: list[float]) -> DataFrame:
+    """(by..., quantiles): linearly interpolated, exact, nulls left out.
+
+    Rows are sorted by range over all partitions, and only the two rows around
+    each quantile are picked, by their place; no task holds a group.
+    """
+    values = rows.select(*by, F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL")
+    placed = place_of(values, [*[F.col(c) for c in by], F.col("_v")], "_place")
+    sizes = placed.groupBy(*by).agg(F.min("_place").alias("_start"), F.count("*").alias("_n"))
+    asked = F.posexplode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("_i", "_q")
+    at = sizes.select(*by, "_start", "_n", asked).withColumn("_at", F.col("_q") * (F.col("_n") - 1))
+    ends = at.select(*by, "_i", "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank"), "_start").withColumn("_place", F.col("_start") + F.col("_rank"))
+    found = ends.join(placed.select("_place", "_v"), "_place").groupBy(*by, "_i", "_at").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    one = found.withColumn("_value", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at")))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_value"))), lambda x: x["_value"])
+    return one.groupBy(*by).agg(listed.alias("quantiles"))
+
+
+def _with_quantiles(rows: DataFrame, column: str, by: list[str] | None, counts: list[Column], quantiles: list[float]) -> DataFrame:
+    key = by or ["_all"]
+    told = rows if by else rows.withColumn("_all", F.lit(0))
+    out = told.groupBy(*key).agg(*counts).join(exact_quantiles(told, column, key, quantiles), key, "left")
+    return out.withColumn("quantiles", F.coalesce("quantiles", F.array().cast("array<double>"))).drop("_all")
+
+
 def distribution(rows: DataFrame, column: str, by: list[str] | None = None, quantiles: list[float] | None = None) -> DataFrame:
-    """n_finite, n_null and an array of linearly interpolated quantiles; a value that isn't finite raises."""
-    quantiles = quantiles or X.QUANTILES
+    """n_finite, n_null and an array of linearly interpolated quantiles (empty without values); a value that isn't finite raises."""
     c = F.col(column).cast("double")
     ok = F.when(c.isNull() | is_finite(c), c).otherwise(F.raise_error(F.lit(f"not finite: {column}")).cast("double"))
     told = rows.select(*(by or []), ok.alias("_v"))
-    out = [F.count("_v").alias("n_finite"), F.count_if(F.col("_v").isNull()).alias("n_null"), F.percentile("_v", F.array(*[F.lit(q) for q in quantiles])).alias("quantiles")]
-    return (told.groupBy(*by) if by else told).agg(*out)
+    return _with_quantiles(told, "_v", by, [F.count("_v").alias("n_finite"), F.count_if(F.col("_v").isNull()).alias("n_null")], quantiles or X.QUANTILES)
 
 
 def against_one(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """Counts below, at and above 1, seven quantiles, mean, min and max."""
     names = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
     c = F.col(column).cast("double")
-    out = [
+    counts = [
         F.count(c).alias("n"), F.count_if(c < 1).alias("n_less"), F.count_if(c == 1).alias("n_equal"), F.count_if(c > 1).alias("n_greater"),
-        F.min(c).alias("min"), *[F.percentile(c, F.lit(q)).alias(n) for n, q in names.items()], F.avg(c).alias("mean"), F.max(c).alias("max"),
+        F.min(c).alias("min"), F.avg(c).alias("mean"), F.max(c).alias("max"),
     ]
-    return (rows.groupBy(*by) if by else rows).agg(*out)
+    got = _with_quantiles(rows, column, by, counts, list(names.values()))
+    return got.withColumns({n: F.get("quantiles", F.lit(i)) for i, n in enumerate(names)}).drop("quantiles")
 
 
 def summary(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:

@@ -67,3 +67,9 @@ def watch_log(spark: SparkSession, folder: str, on_progress, pattern: str = r"Do
             on_progress(batch_id, row["done"])
 
     return lines.writeStream.foreachBatch(each)
+
+
+def not_monotonic(rows: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
+    """Rows whose value is less than that of the row before them."""
+    before = F.lag(value).over(Window.partitionBy(*key).orderBy(order))
+    return rows.withColumn("previous", before).where(F.col(value) < F.col("previous"))
