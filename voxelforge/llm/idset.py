@@ -1,4 +1,4 @@
-"""A bounded set of row keys, to leave rows out before a shuffle.
+"""Texts of a set of keys, with little moved: the others left out before the shuffle, these packed for it.
 
 The set is a bitmap of fixed size with two bits a key (a Bloom filter). A row
 that isn't in it can't be wanted; a row that is may still not be, so that an
@@ -9,6 +9,7 @@ join alone decides.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,16 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def unpacked(packed: pa.Scalar) -> bytes:
+    """A text that texts_of has packed."""
+    return zlib.decompress(packed.as_buffer())
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(_k1, _k2, text as bytes, and the columns of wanted) of the keys in wanted, which are unique; a row of each."""
+    """(_k1, _k2, packed, and the columns of wanted) of the keys in wanted, which are unique; a row of each.
+
+    packed is the text's bytes, deflated so that the shuffle moves less; see unpacked().
+    """
     held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,8 +64,10 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ok = np.ones(batch.num_rows, dtype=bool)
             for p in _places(batch.column(0).to_numpy(), batch.column(1).to_numpy()):
                 ok &= (bits[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-            yield batch.filter(pa.array(ok))
+            rest = batch.filter(pa.array(ok))
+            packed = pa.array([zlib.compress(x.as_buffer(), 1) for x in rest.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), packed], names=[*KEY, "packed"])
 
     rows = with_key(docs).select(*KEY, text_or_empty().cast("binary").alias("text"))
     nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(*KEY))  # the join has sorted by the key
-    return rows.mapInArrow(run, "_k1 long, _k2 long, text binary").join(wanted, KEY).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return rows.mapInArrow(run, "_k1 long, _k2 long, packed binary").join(wanted, KEY).withColumn("_nth", nth).where("_nth = 1").drop("_nth")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxelforge.llm.idset import texts_of
+from voxelforge.llm.idset import texts_of, unpacked
 from voxelforge.llm.rows import KEY, text_or_empty, with_key
 from voxelforge.llm.words import mix, text_groups
 from voxelforge.session import cut, table
@@ -132,7 +132,12 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """Digit 1 and 2 of every stretch: (gram, body, _k1, _k2, at), at packing first window, anchor and last window."""
+    """Digit 1 and 2 of every stretch: (gram, body, _k1, _k2, at), at packing first window, anchor and last window.
+
+    Of stretches that are alike within a group of texts only the first goes to
+    its digit. The others are settled: their at is negative, and they go with
+    their document, neighbours as one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches, 2):
@@ -144,14 +149,49 @@ def anchors(docs: DataFrame) -> DataFrame:
                 of = np.searchsorted(ends, lo, side="right")
                 first = lo - (ends - n)[of] + np.array(start, dtype=np.int64)[of]
                 doc = np.array(number)[of]
+                at = pack_at(first, a - lo, hi - lo)
+                again = later_alike(gram, body, k1[doc], k2[doc], at)
+                run_at, run_doc = as_runs(first[again], (hi - lo)[again], doc[again])
+                owner = mix(k1[run_doc].view(np.uint64) ^ mix(k2[run_doc].view(np.uint64)))
+                doc = np.concatenate([doc[~again], run_doc])
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(gram), _signed(body), pa.array(k1[doc]), pa.array(k2[doc]), pa.array(pack_at(first, a - lo, hi - lo))],
+                    [
+                        _signed(np.concatenate([gram[~again], owner])), _signed(np.concatenate([body[~again], np.zeros(len(owner), np.uint64)])),
+                        pa.array(k1[doc]), pa.array(k2[doc]), pa.array(np.concatenate([at[~again], -1 - run_at])),
+                    ],
                     names=["gram", "body", *KEY, "at"],
                 )
 
     return with_key(docs).select(*KEY, text_or_empty().cast("binary").alias("text")).mapInArrow(run, "gram long, body long, _k1 long, _k2 long, at long")
 
 
+def later_alike(gram: np.ndarray, body: np.ndarray, k1: np.ndarray, k2: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which rows have a row before them, in order of key and place, with the same two digits."""
+    order = np.lexsort((at, k2, k1, body, gram))
+    g, s = gram[order], body[order]
+    new = np.ones(len(g), dtype=bool)
+    new[1:] = (g[1:] != g[:-1]) | (s[1:] != s[:-1])
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))]
+    out = np.zeros(len(g), dtype=bool)
+    out[order] = (k1[order] != k1[head]) | (k2[order] != k2[head]) | (at[order] != at[head])
+    return out
+
+
+def as_runs(first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(at, doc): stretches in order of place, those that follow on each other as one of up to 255 windows."""
+    if not len(first):
+        return first, doc
+    apart = np.ones(len(first), dtype=bool)
+    apart[1:] = (doc[1:] != doc[:-1]) | (first[1:] != (first + last)[:-1] + 1)
+    start = first[np.maximum.accumulate(np.where(apart, np.arange(len(first)), 0))]
+    part = (first - start) // (255 - THRESHOLD + GRAM)
+    new = apart.copy()
+    new[1:] |= part[1:] != part[:-1]
+    lo = np.flatnonzero(new)
+    hi = np.concatenate([lo[1:], [len(first)]]) - 1
+    return pack_at(first[lo], np.zeros(len(lo), np.int64), (first + last)[hi] - first[lo]), doc[lo]
+
+
 def pack_at(first: np.ndarray, anchor: np.ndarray, last: np.ndarray) -> np.ndarray:
     """First window, and the anchor's and the last window's distance from it, in one long."""
     return first << 16 | anchor << 8 | last
@@ -172,10 +212,14 @@ def settle(rows: DataFrame) -> DataFrame:
         first: tuple | None = None
         waits = False
         for batch in batches:
-            if not batch.num_rows:
-                continue
             g, s, k1, k2, at = (c.to_numpy() for c in batch.columns)
+            done = at < 0
+            if done.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (k1[done], k2[done], -1 - at[done], done[done])], names=[*KEY, "at", "later"])
+                g, s, k1, k2, at = (x[~done] for x in (g, s, k1, k2, at))
             n = len(g)
+            if not n:
+                continue
             new_g, new_s = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
             new_g[1:] = g[1:] != g[:-1]
             new_s[1:] = new_g[1:] | (s[1:] != s[:-1])
@@ -220,7 +264,7 @@ def halves(docs: DataFrame, going: DataFrame) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for k1, k2, text, ats in zip(*(batch.column(i) for i in range(4)), strict=True):
-                b = text.as_py()
+                b = unpacked(text)
                 k1, k2 = k1.as_py(), k2.as_py()
                 for at in ats.as_py():
                     lo, a, last = unpack_at(at)
@@ -238,7 +282,7 @@ def halves(docs: DataFrame, going: DataFrame) -> DataFrame:
                 )
 
     wanted = going.where(F.size("going") > 0).select(*KEY, "going")
-    return texts_of(docs, wanted).select(*KEY, "text", "going").mapInArrow(run, "half long, _k1 long, _k2 long, first long, offset int, body binary")
+    return texts_of(docs, wanted).select(*KEY, "packed", "going").mapInArrow(run, "half long, _k1 long, _k2 long, first long, offset int, body binary")
 
 
 def later_windows(rows: DataFrame) -> DataFrame:
@@ -297,7 +341,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for k1, k2, text, spans, starts in zip(*(c for c in batch.columns), strict=True):
-                b = text.as_py()
+                b = unpacked(text)
                 runs = [(x >> 16, (x >> 16) + (x & 255) + THRESHOLD) for x in spans.as_py() or []]
                 runs += [(x, x + THRESHOLD) for x in starts.as_py() or []]
                 gone, kept = cover(b, runs)
@@ -309,7 +353,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     found = cut(repeats(docs))
-    texts = texts_of(docs, found).select(*KEY, "text", "spans", "starts")
+    texts = texts_of(docs, found).select(*KEY, "packed", "spans", "starts")
     return texts.mapInArrow(
         run, "_k1 long, _k2 long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_text binary, kept_sha256 string"
     )

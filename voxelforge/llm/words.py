@@ -6,7 +6,7 @@ follow the number of rows; a text that alone is larger is a group of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,13 +115,13 @@ def shingles(words: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return t[new], h[new]
 
 
-def text_groups(batches: Iterator[pa.RecordBatch], column: int, most: int = GROUP) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts as bytes (null: empty), each of about `most` bytes."""
+def text_groups(batches: Iterator[pa.RecordBatch], column: int, most: int = GROUP, read: Callable[[pa.Scalar], bytes] | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with their texts as bytes (null: empty), each of about `most` bytes; read makes bytes of a value."""
     for batch in batches:
         texts = batch.column(column).cast(pa.binary())
         at, held, size = 0, [], 0
         for i in range(batch.num_rows):
-            x = texts[i].as_py() or b""
+            x = (read(texts[i]) if read else texts[i].as_py()) or b""
             if held and size + len(x) > most:
                 yield batch.slice(at, i - at), held
                 at, held, size = i, [], 0
