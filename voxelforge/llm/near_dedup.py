@@ -4,16 +4,17 @@ A text's distinct shingles fall into BINS bins by the top of their hash, and a
 bin's smallest hash is its signature there. An empty bin takes the value of a bin
 drawn by a fixed sequence of its own until a full one is met (optimal
 densification). Bands of ROWS bins make a text's buckets. Two texts of similarity
-0.85 fail to share a bucket once in 10^8, of 0.8 once in 10^5.
+0.85 fail to share a bucket twice in 10^8 cases, of 0.8 three times in 10^6.
 
 Texts with equal shingle sets are one class, and classes go on as one. In every
 bucket the candidates form a star: all members against one hub, the member that
 shares most with others, so that a bucket of m gives m - 1 pairs. Links are
-confirmed on the full sets. Where a bucket's members don't end up in one
-component, more of them become hubs, eight times as many in every round, until
-the bucket is of one component or every pair across components has been tested:
-no link between different texts that share a bucket is lost, and pairs within a
-component are never made.
+confirmed on the full sets. What a member and its hub don't share is kept, their
+difference. Two members of one hub that aren't both linked with it may still be
+linked with each other; how much they share follows exactly from their
+differences, which are counted against each other in blocks where a hub's members
+are of more than one component. So no link between texts that share a bucket is
+lost, and pairs are never written down but for links.
 
 Defined results: words part at space and 09 to 0D; a null, empty or blank text has
 no shingles, is linked with nothing and stays; a text with fewer words than a
@@ -32,16 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelforge.llm.idset import texts_of
+from voxelforge.llm.idset import texts_of, unpacked
 from voxelforge.llm.rows import KEY, keep_rows, text_or_empty, with_key
 from voxelforge.llm.words import SPACE, Words, mix, shingles, text_groups
 from voxelforge.operators.components import connected_components
 from voxelforge.session import cut, table
 
 #: Bins of a signature and bins of a band.
-BINS, ROWS = 160, 5
-#: Times as many hubs in each further round.
-GROWTH = 8
+BINS, ROWS = 96, 4
+#: Differing shingles in a block of a hub's members.
+BLOCK = 1_000_000
+#: Sets that are held against one copy of a hub's set.
+SPREAD = 1_000
+#: Bytes of sets that are sent on at once; a text's set goes to each of its hubs.
+SENT = 8_000_000
 #: Draws after which an empty bin takes the next full one instead.
 DRAWS = 1024
 
@@ -104,76 +109,158 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(run, "_k1 long, _k2 long, n long, c1 long, c2 long, bands array<long>")
 
 
-def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
-    """(v, h): the sorted shingle hashes of each text, as bytes."""
+def as_sets(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (a, part, member, v, h) as Arrow."""
+    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["a", "part", "member", "v", "h"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, held in text_groups(batches, 1):
+
+def is_link(n: int | np.ndarray, m: int | np.ndarray, apart: int | np.ndarray, percent: int) -> bool | np.ndarray:
+    """Whether sets of n and m shingles that differ in `apart` meet the similarity."""
+    both = (n + m - apart) // 2
+    return 100 * both >= percent * (n + m - both)
+
+
+def against_hubs(docs: DataFrame, places: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, v, n, linked, apart): each pair of hub and member, with the shingles that only one has. places: v, _k1, _k2.
+
+    Each text that is in a pair makes its set once, and sends it to where its
+    hub's set comes too: SPREAD sets at a time meet one copy of it, read as a
+    stream, so that a hub with many members is work for many tasks.
+    """
+    spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("spread"))
+    hubs = spread.select(F.col("a").alias("v"), "a", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("part"))
+    members = pairs.join(spread, "a").select("v", "a", F.pmod(F.xxhash64("v"), F.col("spread")).cast("int").alias("part"))
+    asked = hubs.union(members).groupBy("v").agg(F.collect_list(F.struct("a", "part")).alias("to"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in text_groups(batches, 1, read=unpacked):
             w = Words(held, SPACE)
             t, h = shingles(w, w.hashes(), k)
             ends = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(held)))]) * 8
-            data = h.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["v", "h"]
-            )
+            data, out, size = h.tobytes(), [], 0
+            for v, to, lo, hi in zip(batch.column(0).to_pylist(), batch.column(2), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                own = data[lo:hi]
+                for x in to:
+                    x = x.as_py()
+                    out.append((x["a"], x["part"], v != x["a"], v, own))
+                    size += len(own)
+                    if size >= SENT:
+                        yield as_sets(out)
+                        out, size = [], 0
+            if out:
+                yield as_sets(out)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, np.zeros(0, np.uint64)
+        names, kinds = ["a", "v", "n", "linked", "apart"], (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        for batch in batches:
+            out, size = [], 0
+            for a, part, member, v, h in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
+                x = np.frombuffer(h.as_buffer(), np.uint64)
+                if not member:
+                    hub, own = (a, part), x
+                elif (a, part) == hub:  # else a hub's text is gone
+                    apart = np.setxor1d(own, x, assume_unique=True)
+                    out.append((a, v, len(x), bool(is_link(len(own), len(x), len(apart), percent)), apart.tobytes()))
+                    size += 8 * len(apart)
+                if size >= SENT:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    texts = texts_of(docs, cut(places.join(asked, "v")))
+    made = texts.select("v", "packed", "to").mapInArrow(sets, "a long, part int, member boolean, v long, h binary")
+    return made.repartition("a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(compare, "a long, v long, n long, linked boolean, apart binary")
+
+
+def links_within(members: list[tuple[int, int, int, bool, bytes]], cross: bool, percent: int) -> list[tuple[int, int]]:
+    """Links of members that aren't linked with the hub with any others. A member is (v, block, n, linked, apart);
+    cross: only with members of another block."""
+    n = np.array([m[2] for m in members], np.int64)
+    block = np.array([m[1] for m in members])
+    sizes = np.array([len(m[4]) // 8 for m in members], np.int64)
+    tokens = np.frombuffer(b"".join(m[4] for m in members), np.uint64)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(members)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    by = owner[order]
+    t = tokens[order]
+    new = np.ones(len(t), dtype=bool)
+    new[1:] = t[1:] != t[:-1]
+    number = np.zeros(len(t), np.int64)
+    number[order] = np.cumsum(new) - 1
+    first = np.concatenate([np.flatnonzero(new), [len(t)]])
+    out = []
+    for i, m in enumerate(members):
+        if m[3]:
+            continue
+        mine = number[ends[i] - sizes[i] : ends[i]]
+        lo, size = first[mine], first[mine + 1] - first[mine]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        shared = np.bincount(by[at], minlength=len(members))
+        ok = is_link(n[i], n, sizes[i] + sizes - 2 * shared, percent)
+        ok[i] = False
+        if cross:
+            ok &= block != m[1]
+        out += [(m[0], members[j][0]) for j in np.flatnonzero(ok).tolist()]
+    return out
 
-    return texts.select("v", "text").mapInArrow(run, "v long, h binary")
 
+def among_members(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of a hub, where they are of more than one component.
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets meet the similarity."""
+    Two members share n + m - |difference of their differences| from the hub, over
+    2. Blocks of a hub's members are held two at a time.
+    """
+    told = compared.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    open_ = told.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"), F.sum(F.octet_length("apart")).alias("bytes"))
+    open_ = open_.where("m > 1 AND x < y").select("a", F.ceil(F.col("bytes") / (8 * BLOCK)).cast("int").alias("blocks"))
+    rows = told.join(open_, "a").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    met = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "a", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "v", "block", "n", "linked", "apart"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done() -> pa.RecordBatch:
+            got = links_within(held, key[1] != key[2], percent) if held else []
+            return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+            for a, i, j, v, block, n, linked, apart in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (a, i, j) != key:
+                    if key:
+                        yield done()
+                    key, held = (a, i, j), []
+                held.append((v, block, n, linked, apart))
+        if key:
+            yield done()
 
-    of = lambda v, h: sets.select(F.col("v").alias(v), F.col("h").alias(h))
-    return pairs.join(of("b", "hb"), "b").join(of("a", "ha"), "a").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    return met.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def near_size(x: str, y: str, percent: int):
-    """Whether sets of these sizes can meet the similarity."""
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def labelled(links: DataFrame) -> DataFrame:
+    """(v, label) of the nodes of links."""
+    return connected_components(links, "a", "b").select(F.col("node").alias("v"), F.col("component").alias("label"))
 
 
 def components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(v, label) of the classes that are linked with another."""
-    entries = classes.select("v", "n", F.explode("bands").alias("bucket"))
+    entries = classes.select("v", F.explode("bands").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     shared = entries.join(sizes, "bucket")
     mass = shared.groupBy("v").agg(F.sum("m").alias("mass"))
-    live = cut(shared.join(mass, "v").withColumn("draw", F.xxhash64("v")))
-    hub = live.groupBy("bucket").agg(F.max(F.struct("mass", "draw", F.col("v").alias("a"), F.col("n").alias("na"))).alias("hub"))
-    stars = live.join(hub, "bucket").where((F.col("v") != F.col("hub.a")) & near_size("n", "hub.na", percent))
-    tested = cut(stars.select(F.least("v", "hub.a").alias("a"), F.greatest("v", "hub.a").alias("b")).distinct())
-    wanted = live.select("v").distinct().join(classes.select("v", "place"), "v").select("v", F.col("place._k1").alias("_k1"), F.col("place._k2").alias("_k2"))
-    sets = cut(shingle_sets(texts_of(docs, cut(wanted)), k))
-    labels = connected_components(linked(tested, sets, percent), "a", "b").select(F.col("node").alias("v"), F.col("component").alias("label"))
-    hubs = 1
-    while True:
-        told = live.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-        open_ = told.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("m").alias("most")).where("x < y AND most > 2")
-        left = cut(told.join(open_.select("bucket"), "bucket"))
-        most = left.agg(F.max("m")).first()[0]
-        if not most or hubs >= most:
-            return labels
-        share = lambda c, x: F.col(c) / F.lit(2.0**64) + 0.5 < x / F.col("m")
-        chosen = left.where(share("draw", hubs * GROWTH) & (~share("draw", hubs) if hubs > 1 else F.lit(True)))
-        chosen = chosen.select("bucket", F.col("v").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("draw").alias("da"))
-        met = left.join(chosen, "bucket").where((F.col("label") != F.col("la")) & (F.col("draw") > F.col("da")) & near_size("n", "na", percent))
-        pairs = met.select(F.least("v", "a").alias("a"), F.greatest("v", "a").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        found = cut(linked(pairs, sets, percent))
-        if not found.isEmpty():
-            edges = labels.select(F.col("v").alias("a"), F.col("label").alias("b")).union(found.select("a", "b"))
-            labels = connected_components(edges, "a", "b").select(F.col("node").alias("v"), F.col("component").alias("label"))
-        tested = tested.union(pairs)
-        hubs *= GROWTH
+    live = cut(shared.select("bucket", "v").join(mass, "v").withColumn("draw", F.xxhash64("v")))
+    hub = live.groupBy("bucket").agg(F.max(F.struct("mass", "draw", F.col("v").alias("a"))).alias("hub"))
+    pairs = cut(live.join(hub, "bucket").where(F.col("v") != F.col("hub.a")).select(F.col("hub.a").alias("a"), "v").distinct())
+    places = classes.select("v", F.col("place._k1").alias("_k1"), F.col("place._k2").alias("_k2"))
+    compared = cut(against_hubs(docs, places, pairs, k, percent))
+    labels = labelled(compared.where("linked").select("a", F.col("v").alias("b")))
+    edges = labels.select(F.col("v").alias("a"), F.col("label").alias("b"))
+    return labelled(edges.union(among_members(compared, labels, percent)))
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
