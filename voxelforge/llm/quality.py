@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelforge.llm.rows import KEY, keep_rows, text_or_empty, with_key
+from voxelforge.llm.rows import KEY, keep_rows, salted_join, text_or_empty, with_key
 from voxelforge.session import cut, table
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -124,7 +124,7 @@ def grouped(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("narrow"),
         F.when(F.col("count") >= SMALL, F.concat(F.lit("n/"), "narrow")).when(F.col("n_wide") >= SMALL, F.concat(F.lit("w/"), "wide")).otherwise("all").alias("grp"),
     )
-    return stats.where("NOT base_failed").select("narrow", *NAMES).join(which, "narrow").select("grp", "narrow", *NAMES), which
+    return salted_join(stats.where("NOT base_failed").select("narrow", *NAMES), which, "narrow", NAMES).select("grp", "narrow", *NAMES), which
 
 
 def cholesky(parameters: DataFrame) -> DataFrame:
@@ -166,14 +166,14 @@ def estimates(rows: DataFrame) -> DataFrame:
     """The estimate of each grp: m_i and l_ij."""
     half = lambda c: F.percentile_approx(c, 0.5, ACCURACY)
     medians = cut(rows.groupBy("grp").agg(*[half(x).alias(f"m{i}") for i, x in enumerate(NAMES)]))
-    off = rows.join(medians, "grp").groupBy("grp", *[f"m{i}" for i in range(len(NAMES))])
+    off = salted_join(rows, medians, "grp", NAMES).groupBy("grp", *[f"m{i}" for i in range(len(NAMES))])
     mads = off.agg(*[half(F.abs(F.col(x) - F.col(f"m{i}"))).alias(f"d{i}") for i, x in enumerate(NAMES)])
     zero = {f"s{i}{j}": F.lit(0.0) for i in range(len(NAMES)) for j in range(i)}
     now = cut(cholesky(mads.withColumns({f"s{i}{i}": (1.4826 * F.col(f"d{i}")) ** 2 for i in range(len(NAMES))} | zero)).select("grp", *PARAMETERS))
     for step in range(STEPS):
-        far = distance(rows.join(now, "grp"))
+        far = distance(salted_join(rows, now, "grp", NAMES))
         limits = far.groupBy("grp").agg(F.percentile_approx("d2", SHARE, ACCURACY).alias("most"))
-        near = far.join(limits, "grp").where("d2 <= most")
+        near = salted_join(far, limits, "grp", NAMES).where("d2 <= most")
         sums = near.groupBy("grp").agg(
             *[F.avg(x).alias(f"m{i}") for i, x in enumerate(NAMES)],
             *[F.covar_pop(x, NAMES[j]).alias(f"s{i}{j}") for i, x in enumerate(NAMES) for j in range(i + 1)],
@@ -189,7 +189,7 @@ def verdicts(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     stats = cut(statistics(docs))
     rows, which = grouped(stats)
     by_group = estimates(rows).join(which, "grp").drop("grp")
-    out = distance(stats.join(by_group, "narrow", "left")).drop(*PARAMETERS)
+    out = distance(salted_join(stats, by_group, "narrow", KEY, "left")).drop(*PARAMETERS)
     return out.withColumn("distance", F.when(~F.col("base_failed"), F.sqrt("d2"))).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
     )

@@ -45,3 +45,15 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, once: bool = True) -> DataF
     if "_copies" in decisions.columns:
         out = out.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select("_row.*")
+
+
+#: Parts over which the rows of one key are dealt in a salted join.
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, small: DataFrame, key: str, by: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with small, of which key is unique. The rows of a key are dealt over SALTS parts by a hash of
+    `by`, and every row of small goes to each, so that a key that a third of all rows have isn't one task's."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [key, "_salt"], how).drop("_salt")
