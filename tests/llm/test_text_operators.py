@@ -310,6 +310,17 @@ def test_quality_rejects_outliers_and_keeps_clean(spark):
     assert all(got[r[0]] for r in clean) and not any(got[r[0]] for r in [*junk, *long])
 
 
+@pytest.mark.parametrize("junk", [60, 96])
+def test_quality_rejects_copies_of_one_text_in_a_third_of_a_group(spark, junk):
+    """A third, and 0.44, of a group of 120 clean rows are copies of one junk text."""
+    rnd = np.random.default_rng(8)
+    say = lambda n: " ".join("".join(map(chr, rnd.integers(97, 123, rnd.integers(2, 9)))) for _ in range(n))
+    clean = [(i, say(rnd.integers(60, 400)), "en", "s0") for i in range(120)]
+    text = " ".join(f"{w} $$$" for w in say(120).split())
+    got = {r["doc_id"]: r["kept"] for r in quality.verdicts(frame(spark, [*clean, *[(1000 + i, text, "en", "s0") for i in range(junk)]])).collect()}
+    assert all(got[r[0]] for r in clean) and not any(v for i, v in got.items() if i >= 1000)
+
+
 def test_mcd_matches_a_plain_one(spark):
     """One group: the same steps in numpy, with exact quantiles."""
     rnd = np.random.default_rng(7)

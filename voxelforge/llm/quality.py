@@ -3,8 +3,9 @@
 Each text gives a vector of transformed statistics. For every language and
 source a minimum-covariance-determinant estimate is made: from the half-sample of
 smallest robust distance, concentration steps take mean and covariance of the
-rows nearest under the last estimate, and each step lowers the determinant. Rows
-whose Mahalanobis distance is over a limit are rejected.
+half nearest under the last estimate, until the determinant stops falling, so
+that junk in just under half of a group doesn't move its estimate. Rows whose
+Mahalanobis distance is over a limit are rejected.
 
 A group of fewer than SMALL rows shares the estimate of its language, and a
 language of fewer that of all rows, since a covariance needs rows. Every
@@ -34,8 +35,10 @@ WHITE_SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Rows below which a group shares a wider estimate.
 SMALL = 100
-#: Share of rows in the half-sample; concentration steps; accuracy of quantile sketches.
-SHARE, STEPS, ACCURACY = 0.75, 3, 10_000
+#: Share of rows in the half-sample; concentration steps after which a determinant that still falls is an error; accuracy of quantile sketches.
+SHARE, STEPS, ACCURACY = 0.5, 100, 10_000
+#: A determinant that falls by less than this share, the rounding of its sums, has stopped.
+LEAST_FALL = 1e-9
 #: Transformed statistics, with the standard deviation that each has at least.
 FEATURES = {"x0": 0.10, "x1": 0.10, "x2": 0.10, "x3": 0.08}
 #: Distance over which a row is rejected.
@@ -162,26 +165,43 @@ def consistency(share: float = SHARE) -> float:
     return share / (1 - math.exp(-q / 2) * (1 + q / 2 + (q / 2) ** 2 / 2))
 
 
+SPREADS = [f"s{i}{j}" for i in range(len(NAMES)) for j in range(i + 1)]
+STATE = [*PARAMETERS, *SPREADS, "volume"]
+
+
 def estimates(rows: DataFrame) -> DataFrame:
-    """The estimate of each grp: m_i and l_ij."""
+    """The estimate of each grp: m_i and l_ij.
+
+    Each group takes steps until its own determinant (volume is its logarithm) stops falling.
+    """
+    rows = cut(rows)
     half = lambda c: F.percentile_approx(c, 0.5, ACCURACY)
     medians = cut(rows.groupBy("grp").agg(*[half(x).alias(f"m{i}") for i, x in enumerate(NAMES)]))
     off = salted_join(rows, medians, "grp", NAMES).groupBy("grp", *[f"m{i}" for i in range(len(NAMES))])
     mads = off.agg(*[half(F.abs(F.col(x) - F.col(f"m{i}"))).alias(f"d{i}") for i, x in enumerate(NAMES)])
     zero = {f"s{i}{j}": F.lit(0.0) for i in range(len(NAMES)) for j in range(i)}
-    now = cut(cholesky(mads.withColumns({f"s{i}{i}": (1.4826 * F.col(f"d{i}")) ** 2 for i in range(len(NAMES))} | zero)).select("grp", *PARAMETERS))
-    for step in range(STEPS):
-        far = distance(salted_join(rows, now, "grp", NAMES))
+    first = cholesky(mads.withColumns({f"s{i}{i}": (1.4826 * F.col(f"d{i}")) ** 2 for i in range(len(NAMES))} | zero))
+    now = cut(first.withColumn("volume", F.lit(math.inf)).select("grp", *STATE))
+    settled = now.where("false")
+    volume = 2 * sum((F.log(f"l{i}{i}") for i in range(1, len(NAMES))), F.log("l00"))
+    for _ in range(STEPS):
+        if now.isEmpty():
+            break
+        far = distance(salted_join(rows, now.select("grp", *PARAMETERS), "grp", NAMES))
         limits = far.groupBy("grp").agg(F.percentile_approx("d2", SHARE, ACCURACY).alias("most"))
         near = salted_join(far, limits, "grp", NAMES).where("d2 <= most")
         sums = near.groupBy("grp").agg(
             *[F.avg(x).alias(f"m{i}") for i, x in enumerate(NAMES)],
             *[F.covar_pop(x, NAMES[j]).alias(f"s{i}{j}") for i, x in enumerate(NAMES) for j in range(i + 1)],
         )
-        if step == STEPS - 1:
-            sums = sums.withColumns({f"s{i}{j}": F.col(f"s{i}{j}") * consistency() for i in range(len(NAMES)) for j in range(i + 1)})
-        now = cut(cholesky(sums).select("grp", *PARAMETERS))
-    return now
+        after = cholesky(sums).withColumn("volume", volume).select("grp", F.struct(*STATE).alias("after"))
+        both = cut(after.join(now.select("grp", F.struct(*STATE).alias("before")), "grp"))
+        fell = F.col("after.volume") < F.col("before.volume") - LEAST_FALL
+        settled = settled.unionByName(both.where(~fell).select("grp", "before.*"))
+        now = both.where(fell).select("grp", "after.*")
+    if not now.isEmpty():
+        raise RuntimeError(f"determinants still fall after {STEPS} steps")
+    return cut(cholesky(settled.withColumns({s: F.col(s) * consistency() for s in SPREADS})).select("grp", *PARAMETERS))
 
 
 def verdicts(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
