@@ -321,6 +321,21 @@ def test_quality_rejects_copies_of_one_text_in_a_third_of_a_group(spark, junk):
     assert all(got[r[0]] for r in clean) and not any(v for i, v in got.items() if i >= 1000)
 
 
+def test_quality_rejects_by_one_statistic_alone(spark):
+    """Duplicate lines, repeated words and moderate symbol density each reject; boilerplate of a third of the lines stays."""
+    rnd = np.random.default_rng(9)
+    say = lambda n: " ".join("".join(map(chr, rnd.integers(97, 123, rnd.integers(2, 9)))) for _ in range(n))
+    clean = [(i, "\n".join(say(20) for _ in range(rnd.integers(4, 12)))) for i in range(150)]
+    footer = [(500 + i, "\n".join([*[say(20) for _ in range(8)], *["all rights reserved"] * 5])) for i in range(5)]
+    lines = [(1000 + i, "\n".join([say(400), *["to top"] * 40])) for i in range(5)]
+    words = [(2000 + i, " ".join([w := say(24), say(52), w])) for i in range(5)]
+    symbols = [(3000 + i, " | ".join(say(2) for _ in range(60))) for i in range(5)]
+    docs = frame(spark, [(i, t, "en", "s0") for i, t in [*clean, *footer, *lines, *words, *symbols]])
+    got = {r["doc_id"]: r for r in quality.verdicts(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert all(r["kept"] == (i < 1000) for i, r in got.items())
+
+
 def test_mcd_matches_a_plain_one(spark):
     """One group: the same steps in numpy, with exact quantiles."""
     rnd = np.random.default_rng(7)
