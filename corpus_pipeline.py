@@ -37,7 +37,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document, with their ids."""
-    return packing.pack(docs)
+    return packing.pack(docs, specials=True)
 
 
 STAGES = [

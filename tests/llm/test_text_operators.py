@@ -394,6 +394,25 @@ def test_packing(spark, corpus):
     assert whole == want
 
 
+def test_packing_query_reads_added_tokens_as_tokenizers_does(spark, corpus, tmp_path):
+    t = pytest.importorskip("tokenizers").Tokenizer.from_file(packing.default_vocabulary())
+    end = "<|endoftext|>"
+    odd = [f"x {end} y", end, f"{end}{end} a", f"lead  \n {end}\n\n  trail ", f"it{end}'s 12{end}34", "<|endoftext |> <|endof", f"<{end}>"]
+    rows = [*corpus, *[(700 + i, x) for i, x in enumerate(odd)]]
+    bpe = packing.ByteBpe(packing.default_vocabulary(), specials=True)
+    for r in rows:
+        assert bpe.encode(r[1] or "") == t.encode(r[1] or "", add_special_tokens=False).ids
+    frame(spark, rows[-len(odd) :]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["start"], r["ids_crc32"]) for r in packing.op10_packing(spark, str(tmp_path)).collect()}
+    want = set()
+    for i, x in enumerate(odd):
+        ids, start = np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4"), 0
+        for n in packing.piece_lengths(len(ids), 1024):
+            want.add((700 + i, start, zlib.crc32(ids[start : start + n].tobytes())))
+            start += n
+    assert got == want
+
+
 def test_piece_lengths():
     for n in range(1, 3000, 7):
         p = packing.piece_lengths(n, 1024)

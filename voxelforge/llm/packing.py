@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,23 +35,27 @@ ROWS = 10_000
 class ByteBpe:
     """Ids of whole texts under the byte-level BPE of a tokenizers JSON file.
 
-    The file's vocabulary is handed to a faster encoder of the same merges; a
-    special token's string in a text is ordinary text.
+    The file's vocabulary is handed to a faster encoder of the same merges. With
+    specials, the string of one of the file's added tokens in a text is that
+    token, as tokenizers reads it by default; without, it is ordinary text.
     """
 
     #: How the file's byte-level pre-tokenizer splits a text (fixed value; possessive where that changes nothing).
     SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, specials: bool = False) -> None:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
-        special = {x["content"] for x in said["added_tokens"]}
+        special = {x["content"]: x["id"] for x in said["added_tokens"]}
+        if specials and any(x[k] for x in said["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("an added token that takes in or asks for what stands beside it can't be read")
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         as_byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
         ranks = {bytes(as_byte[c] for c in k): v for k, v in said["model"]["vocab"].items() if k not in special}
-        self.encode = tiktoken.Encoding("file", pat_str=self.SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("file", pat_str=self.SPLIT, mergeable_ranks=ranks, special_tokens=special if specials else {})
+        self.encode = partial(encoding.encode, allowed_special="all") if specials else encoding.encode_ordinary
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -70,17 +75,18 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = SEQUENCE, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = SEQUENCE, with_ids: bool = True, specials: bool = False) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, bucket, doc_tokens, ids, ids_crc32, sequence_id, offset.
 
     bucket is the power of two. sequence_id is unique; a sequence holds one
-    piece, at offset 0. with_ids=False leaves the ids out of the rows.
+    piece, at offset 0. with_ids=False leaves the ids out of the rows. specials
+    reads the strings of the file's added tokens as those tokens.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the sequence length must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(vocabulary or default_vocabulary())
+        bpe = ByteBpe(vocabulary or default_vocabulary(), specials)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -115,6 +121,6 @@ def as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pieces of all documents, by digest."""
-    return pack(table(spark, sf_dir, "documents"), with_ids=False).select(
+    return pack(table(spark, sf_dir, "documents"), with_ids=False, specials=True).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"
     )
