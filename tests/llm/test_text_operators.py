@@ -283,6 +283,15 @@ def test_secret_ledger_scans_each_pair_once(spark):
     assert all(new[k] == v for k, v in old.items()) and all(new[(b, "assign@2")] == v for (b, r), v in old.items() if r == "assign@1")
 
 
+def test_secrets_query_reads_its_findings_from_the_ledger(spark, tmp_path, monkeypatch):
+    made, build = [], secrets.ledger_rows
+    monkeypatch.setattr(secrets, "ledger_rows", lambda *a: made.append(build(*a)) or made[-1])
+    frame(spark, SECRETS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r["doc_id"], r["spans"]) for r in secrets.op9_secrets(spark, str(tmp_path)).collect())
+    assert got == Counter((i, secrets_brute(t or "")) for i, t in SECRETS)
+    assert len(made) == 1 and made[0].count() == len({t or "" for _, t in SECRETS}) * len(secrets.RULES)
+
+
 def statistics_brute(t):
     w = SPACED.findall(t)
     n = Counter(zip(w, w[1:], w[2:], strict=False))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelforge.llm.rows import salted_join, text_or_empty
-from voxelforge.session import table
+from voxelforge.session import cut, table
 
 
 @dataclass(frozen=True)
@@ -126,6 +126,12 @@ def ledger_rows(docs: DataFrame, rules: list[Rule], ledger: DataFrame | None = N
     return new if ledger is None else ledger.select("blob", "rule_id", "spans").unionByName(new)
 
 
+def ledger_findings(ledger: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Findings (blob, rule, start, end) that the ledger holds of these rule versions; rule is the place in the list."""
+    place = F.array_position(F.array(*[F.lit(r.id) for r in rules]), F.col("rule_id")).cast("int") - 1
+    return ledger.select("blob", place.alias("rule"), F.inline("spans")).where("rule >= 0").select("blob", "rule", "start", "end")
+
+
 def by_path(docs: DataFrame, findings: DataFrame) -> DataFrame:
     """For each row: doc_id and the columns that findings has for its blob, null where it has none."""
     paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.encode(text_or_empty(), "UTF-8"), 256)).alias("blob"))
@@ -157,9 +163,10 @@ NOTHING = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The findings of every document; the ledger starts empty."""
+    """The findings of every document, from the ledger after them; it starts empty and is written with all its pairs."""
     docs = table(spark, sf_dir, "documents")
-    out = by_path(docs, digest(scan(blobs(docs), RULES), RULES))
+    ledger = cut(ledger_rows(docs, RULES))
+    out = by_path(docs, digest(ledger_findings(ledger, RULES), RULES))
     return out.select(
         "doc_id",
         *[F.coalesce(f"n_{r.kind}", F.lit(0).cast("long")).alias(f"n_{r.kind}") for r in BASE],
