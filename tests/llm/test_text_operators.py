@@ -358,6 +358,21 @@ def test_quality_rejects_by_one_statistic_alone(spark):
     assert all(r["kept"] == (i < 1000) for i, r in got.items())
 
 
+def test_quality_estimates_of_sources_change_smoothly_with_their_size(spark):
+    """A source of longer words: 99 and 100 rows give about the same distances, and a small one has an estimate of its own."""
+    rnd = np.random.default_rng(10)
+    say = lambda n, lo, hi: " ".join("".join(map(chr, rnd.integers(97, 123, rnd.integers(lo, hi)))) for _ in range(n))
+    plain = [(i, say(80, 2, 9), "en", "s0") for i in range(300)]
+    odd = [(1000 + i, say(80, 5, 12), "en", "s1") for i in range(100)]
+
+    def middle(n):
+        got = quality.verdicts(frame(spark, [*plain, *odd[:n]])).where("doc_id >= 1000").collect()
+        return float(np.median([r["distance"] for r in got]))
+
+    few, less, more = middle(30), middle(99), middle(100)
+    assert abs(less - more) < 0.1 and more < less + 0.1 < few + 0.2 and few < 2.5
+
+
 def test_mcd_matches_a_plain_one(spark):
     """One group: the same steps in numpy, with exact quantiles."""
     rnd = np.random.default_rng(7)

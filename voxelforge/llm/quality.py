@@ -7,9 +7,9 @@ half nearest under the last estimate, until the determinant stops falling, so
 that junk in just under half of a group doesn't move its estimate. Rows whose
 Mahalanobis distance is over a limit are rejected.
 
-A group of fewer than SMALL rows shares the estimate of its language, and a
-language of fewer that of all rows, since a covariance needs rows. Every
-direction has a floor variance, so that a statistic which is zero nearly
+A covariance needs rows: each group's estimate is drawn to its language's, and
+that to the one of all rows, with a weight that falls smoothly with the rows of
+the group; no size switches from one to another. Every direction has a floor variance, so that a statistic which is zero nearly
 everywhere doesn't make each row with one symbol an outlier.
 
 Only sums, counts and bounded quantile sketches are shuffled. Words are compared
@@ -33,8 +33,8 @@ from voxelforge.session import cut, table
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-#: Rows below which a group shares a wider estimate.
-SMALL = 100
+#: Rows that the wider estimate weighs against a group's own: as many as an estimate has numbers, 4 means and 10 covariances.
+OWN = 14
 #: Share of rows in the half-sample; concentration steps after which a determinant that still falls is an error; accuracy of quantile sketches.
 SHARE, STEPS, ACCURACY = 0.5, 100, 10_000
 #: A determinant that falls by less than this share, the rounding of its sums, has stopped.
@@ -118,17 +118,6 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def grouped(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows that count for the estimates, with the group whose estimate they take as `grp`; that group by `narrow`."""
-    sizes = stats.where("NOT base_failed").groupBy("wide", "narrow").count()
-    wide = sizes.groupBy("wide").agg(F.sum("count").alias("n_wide"))
-    which = sizes.join(wide, "wide").select(
-        F.col("narrow"),
-        F.when(F.col("count") >= SMALL, F.concat(F.lit("n/"), "narrow")).when(F.col("n_wide") >= SMALL, F.concat(F.lit("w/"), "wide")).otherwise("all").alias("grp"),
-    )
-    return salted_join(stats.where("NOT base_failed").select("narrow", *NAMES), which, "narrow", NAMES).select("grp", "narrow", *NAMES), which
-
-
 def cholesky(parameters: DataFrame) -> DataFrame:
     """Adds the lower triangle l_ij of the floored covariance s_ij."""
     out = parameters
@@ -179,7 +168,12 @@ STATE = [*PARAMETERS, *SPREADS, "volume"]
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """The estimate of each grp: m_i and l_ij.
+    """The estimate of each grp: m_i and l_ij."""
+    return cut(cholesky(spreads(rows)).select("grp", *PARAMETERS))
+
+
+def spreads(rows: DataFrame) -> DataFrame:
+    """The estimate of each grp before the floors: m_i and s_ij.
 
     Each group takes steps until its own determinant (volume is its logarithm) stops falling.
     """
@@ -210,15 +204,34 @@ def estimates(rows: DataFrame) -> DataFrame:
         now = both.where(fell).select("grp", "after.*")
     if not now.isEmpty():
         raise RuntimeError(f"determinants still fall after {STEPS} steps")
-    return cut(cholesky(settled.withColumns({s: F.col(s) * consistency() for s in SPREADS})).select("grp", *PARAMETERS))
+    return settled.select("grp", *PARAMETERS[: len(NAMES)], *[(F.col(s) * consistency()).alias(s) for s in SPREADS])
+
+
+def by_source(stats: DataFrame) -> DataFrame:
+    """m_i and l_ij by narrow: the estimate of its rows, drawn to its language's, and that to the one of all rows.
+
+    An estimate of n rows weighs n, what it is drawn to weighs OWN rows, whatever the size.
+    """
+    good = stats.where("NOT base_failed")
+    levels = F.array(F.concat(F.lit("n/"), "narrow"), F.concat(F.lit("w/"), "wide"), F.lit("all"))
+    found = spreads(good.select(F.explode(levels).alias("grp"), *NAMES))
+    names = [c for c in found.columns if c != "grp"]
+    level = lambda name: found.select(F.col("grp").alias(f"{name}_grp"), F.struct(*names).alias(name))
+    sizes = good.groupBy("wide", "narrow").agg(F.count("*").alias("n_own"))
+    out = (
+        sizes.join(sizes.groupBy("wide").agg(F.sum("n_own").alias("n_wide")), "wide")
+        .withColumns({"own_grp": F.concat(F.lit("n/"), "narrow"), "lang_grp": F.concat(F.lit("w/"), "wide"), "every_grp": F.lit("all")})
+        .join(level("own"), "own_grp").join(level("lang"), "lang_grp").join(level("every"), "every_grp")
+    )
+    drawn = lambda n, x, to: (F.col(n) * x + OWN * to) / (F.col(n) + OWN)
+    both = {c: drawn("n_own", F.col(f"own.{c}"), drawn("n_wide", F.col(f"lang.{c}"), F.col(f"every.{c}"))) for c in names}
+    return cholesky(out.select("narrow", *[x.alias(c) for c, x in both.items()])).select("narrow", *PARAMETERS)
 
 
 def verdicts(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     """Statistics of every row with distance (null where the base rules failed) and kept."""
     stats = cut(statistics(docs))
-    rows, which = grouped(stats)
-    by_group = estimates(rows).join(which, "grp").drop("grp")
-    out = distance(salted_join(stats, by_group, "narrow", KEY, "left")).drop(*PARAMETERS)
+    out = distance(salted_join(stats, cut(by_source(stats)), "narrow", KEY, "left")).drop(*PARAMETERS)
     return out.withColumn("distance", F.when(~F.col("base_failed"), F.sqrt("d2"))).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
     )
