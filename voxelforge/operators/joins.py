@@ -6,6 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a side that is broadcast at most; parts into which all rows of the other side would be dealt beyond that.
+FEW, PARTS = 20_000, 1024
+
+
+def small_join(rows: DataFrame, small: DataFrame, key: str, by: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with small, of which key is unique but for a few rows, so that a key of a third of all rows isn't one task's.
+
+    small is counted first (it should be written already). With at most FEW rows it is broadcast. Beyond, a key that
+    has more than one in PARTS of the rows is hot: there are fewer than PARTS of these, a bounded table; their rows
+    are dealt by a hash of `by` over parts in proportion to their share, and their rows of small go to each part.
+    """
+    if len(small.take(FEW + 1)) <= FEW:
+        return rows.join(F.broadcast(small), key, how)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    total = rows.count()
+    hot = F.broadcast(sizes.where(F.col("_n") * PARTS > total).select(key, F.ceil(F.col("_n") * PARTS / total).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*by), parts).cast("int")).drop("_parts")
+    copies = small.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
+
+
 def last_by_key(rows: DataFrame, key: list[str], value: str, position: str) -> DataFrame:
     """One value for each key, that of its last row."""
     return rows.groupBy(*key).agg(F.max_by(value, position).alias(value))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,20 +25,45 @@ def local_session(cores: str = "8", shuffle: str = "8") -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only a local session, as in tests, may do without:
+    it gets a folder of its own."""
+    sc = spark.sparkContext
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isEmpty():
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="voxelforge-ckpt-"))
+        held = sc._jsc.sc().getCheckpointDir()
+    return held.get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there.
 
-    The folder is the one that the cluster names in spark.checkpoint.dir. A
-    folder of our own is set only where that is unset, as in local tests. The
-    files are replicated by the store, so the loss of an executor costs nothing.
+    The files are replicated by the store, so the loss of an executor costs nothing.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        own = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="voxelforge-ckpt-")
-        sc.setCheckpointDir(own)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, but in Parquet: for wide rows of which later steps read a few columns at a time."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes what stored wrote; nothing may read it any more."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/stored-" in f}:
+        at = hadoop(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables under sf_dir, read by Spark whatever the store."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
