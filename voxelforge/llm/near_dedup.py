@@ -13,13 +13,15 @@ confirmed on the full sets. What a member and its hub don't share is kept, their
 difference. Two members of one hub that aren't both linked with it may still be
 linked with each other; how much they share follows exactly from their
 differences, which are counted against each other in blocks where a hub's members
-are of more than one component. So no link between texts that share a bucket is
-lost, and pairs are never written down but for links.
+are of more than one component. So no component that a link between texts of a
+bucket makes is lost, and a block gives no more links than join its members.
 
 Defined results: words part at space and 09 to 0D; a null, empty or blank text has
 no shingles, is linked with nothing and stays; a text with fewer words than a
 shingle has one shingle; a null id comes after all others; of rows that share id
-and text one decision holds; an empty table gives an empty result; other columns
+and text one decision holds, and in op2_near_dedup a row is kept whose id is that
+of its component, nulls alike; rows of one id with other texts are documents of
+their own; an empty table gives an empty result; other columns
 are not read.
 """
 
@@ -34,15 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelforge.llm.idset import texts_of, unpacked
-from voxelforge.llm.rows import KEY, keep_rows, text_or_empty, with_key
+from voxelforge.llm.rows import KEY, id_of, keep_rows, text_or_empty, with_key
 from voxelforge.llm.words import SPACE, Words, mix, shingles, text_groups
 from voxelforge.operators.components import connected_components
+from voxelforge.operators.joins import small_join
 from voxelforge.session import cut, table
 
 #: Bins of a signature and bins of a band.
 BINS, ROWS = 96, 4
-#: Differing shingles in a block of a hub's members.
-BLOCK = 1_000_000
+#: Differing shingles, and members, in a block of a hub's members.
+BLOCK, MEMBERS = 1_000_000, 20_000
 #: Sets that are held against one copy of a hub's set.
 SPREAD = 1_000
 #: Bytes of sets that are sent on at once; a text's set goes to each of its hubs.
@@ -128,9 +131,11 @@ def against_hubs(docs: DataFrame, places: DataFrame, pairs: DataFrame, k: int, p
     hub's set comes too: SPREAD sets at a time meet one copy of it, read as a
     stream, so that a hub with many members is work for many tasks.
     """
-    spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("spread"))
+    spread = cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("spread")))
     hubs = spread.select(F.col("a").alias("v"), "a", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("part"))
-    members = pairs.join(spread, "a").select("v", "a", F.pmod(F.xxhash64("v"), F.col("spread")).cast("int").alias("part"))
+    many = cut(spread.where("spread > 1"))
+    own = small_join(pairs, many, "a", ["v"], "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
+    members = own.select("v", "a", F.pmod(F.xxhash64("v"), F.col("spread")).cast("int").alias("part"))
     asked = hubs.union(members).groupBy("v").agg(F.collect_list(F.struct("a", "part")).alias("to"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,9 +180,13 @@ def against_hubs(docs: DataFrame, places: DataFrame, pairs: DataFrame, k: int, p
     return made.repartition("a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(compare, "a long, v long, n long, linked boolean, apart binary")
 
 
-def links_within(members: list[tuple[int, int, int, bool, bytes]], cross: bool, percent: int) -> list[tuple[int, int]]:
-    """Links of members that aren't linked with the hub with any others. A member is (v, block, n, linked, apart);
-    cross: only with members of another block."""
+def links_within(members: list[tuple[int, int, int, bool, bytes, int]], cross: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that join members of a hub beyond their components: at most one fewer than there are members.
+
+    A member is (v, block, n, linked, apart, label); members with one label are joined already. Each member that isn't
+    linked with the hub is held against all others, and of its links one for each part that it joins is given, until
+    all are joined. cross: only links with members of another block count.
+    """
     n = np.array([m[2] for m in members], np.int64)
     block = np.array([m[1] for m in members])
     sizes = np.array([len(m[4]) // 8 for m in members], np.int64)
@@ -192,10 +201,13 @@ def links_within(members: list[tuple[int, int, int, bool, bytes]], cross: bool,
     number = np.zeros(len(t), np.int64)
     number[order] = np.cumsum(new) - 1
     first = np.concatenate([np.flatnonzero(new), [len(t)]])
-    out = []
+    of = np.unique([m[5] for m in members], return_inverse=True)[1]  # the part that each is in
+    out: list[tuple[int, int]] = []
     for i, m in enumerate(members):
         if m[3]:
             continue
+        if (of == of[0]).all():
+            break
         mine = number[ends[i] - sizes[i] : ends[i]]
         lo, size = first[mine], first[mine + 1] - first[mine]
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
@@ -204,7 +216,10 @@ def links_within(members: list[tuple[int, int, int, bool, bytes]], cross: bool,
         ok[i] = False
         if cross:
             ok &= block != m[1]
-        out += [(m[0], members[j][0]) for j in np.flatnonzero(ok).tolist()]
+        near = np.flatnonzero(ok & (of != of[i]))
+        for part, first in zip(*np.unique(of[near], return_index=True), strict=True):
+            out.append((m[0], members[near[first]][0]))
+            of[of == part] = of[i]
     return out
 
 
@@ -214,12 +229,13 @@ def among_members(compared: DataFrame, labels: DataFrame, percent: int) -> DataF
     Two members share n + m - |difference of their differences| from the hub, over
     2. Blocks of a hub's members are held two at a time.
     """
-    told = compared.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    told = cut(compared.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v")))
     open_ = told.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"), F.sum(F.octet_length("apart")).alias("bytes"))
-    open_ = open_.where("m > 1 AND x < y").select("a", F.ceil(F.col("bytes") / (8 * BLOCK)).cast("int").alias("blocks"))
-    rows = told.join(open_, "a").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    blocks = F.ceil(F.greatest(F.col("bytes") / (8 * BLOCK), F.col("m") / MEMBERS))
+    open_ = cut(open_.where("m > 1 AND x < y").select("a", blocks.cast("int").alias("blocks")))
+    rows = small_join(told, open_, "a", ["v"]).withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
     met = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "a", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "v", "block", "n", "linked", "apart"
+        "a", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "v", "block", "n", "linked", "apart", "label"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,12 +246,12 @@ def among_members(compared: DataFrame, labels: DataFrame, percent: int) -> DataF
             return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            for a, i, j, v, block, n, linked, apart in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, i, j, v, block, n, linked, apart, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (a, i, j) != key:
                     if key:
                         yield done()
                     key, held = (a, i, j), []
-                held.append((v, block, n, linked, apart))
+                held.append((v, block, n, linked, apart, label))
         if key:
             yield done()
 
@@ -283,7 +299,6 @@ def drop_near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document: three-word shingles, similarity 0.85."""
-    doc_id = lambda c: F.when(F.col(c) != 2**63 - 1, F.col(c))
-    return near_groups(table(spark, sf_dir, "documents"), 3, 85).select(
-        doc_id("_k1").alias("doc_id"), F.col("n").alias("n_shingles"), doc_id("first_k1").alias("component_id"), "kept"
-    )
+    groups = near_groups(table(spark, sf_dir, "documents"), 3, 85)
+    told = groups.select(id_of("_k1", "_k2").alias("doc_id"), F.col("n").alias("n_shingles"), id_of("first_k1", "first_k2").alias("component_id"))
+    return told.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

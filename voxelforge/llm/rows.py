@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Stands for a null id in keys, after all others.
-NO_ID = 2**63 - 1
 KEY = ["_k1", "_k2"]
 
 
@@ -16,11 +14,20 @@ def text_or_empty() -> Column:
 
 
 def key_columns() -> list[Column]:
-    """The key under which a row's decision is found: its id and a digest of its text.
+    """The key under which a row's decision is found: its id and 63 bits of a hash of its text.
 
-    Rows that agree in both are repeats of one document and share a decision.
+    The sign of the second tells whether there is an id: it is negative where there is one. So every
+    id is itself, and a null id comes after all others. Rows that agree in both are repeats of one
+    document and share a decision; two texts without an id share one by chance in n^2 / 2^64 cases.
     """
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k1"), F.xxhash64(text_or_empty()).alias("_k2")]
+    some = F.col("doc_id").isNotNull()
+    low = F.xxhash64(text_or_empty()).bitwiseAND(F.lit(2**63 - 1))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("_k1"), F.when(some, low.bitwiseOR(F.lit(-(2**63)))).otherwise(low).alias("_k2")]
+
+
+def id_of(k1: str, k2: str) -> Column:
+    """The id in a key, null where there is none."""
+    return F.when(F.col(k2) < 0, F.col(k1))
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -45,15 +52,3 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, once: bool = True) -> DataF
     if "_copies" in decisions.columns:
         out = out.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select("_row.*")
-
-
-#: Parts over which the rows of one key are dealt in a salted join.
-SALTS = 16
-
-
-def salted_join(rows: DataFrame, small: DataFrame, key: str, by: list[str], how: str = "inner") -> DataFrame:
-    """rows joined with small, of which key is unique. The rows of a key are dealt over SALTS parts by a hash of
-    `by`, and every row of small goes to each, so that a key that a third of all rows have isn't one task's."""
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copies, [key, "_salt"], how).drop("_salt")

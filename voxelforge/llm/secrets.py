@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxelforge.llm.rows import salted_join, text_or_empty
+from voxelforge.llm.rows import text_or_empty
+from voxelforge.operators.joins import small_join
 from voxelforge.session import cut, table
 
 
@@ -143,7 +144,7 @@ def ledger_findings(ledger: DataFrame, rules: list[Rule]) -> DataFrame:
 def by_path(docs: DataFrame, findings: DataFrame) -> DataFrame:
     """For each row: doc_id and the columns that findings has for its blob, null where it has none."""
     paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.encode(text_or_empty(), "UTF-8"), 256)).alias("blob"))
-    return salted_join(paths, findings, "blob", ["doc_id"], "left")
+    return small_join(paths, cut(findings), "blob", ["doc_id"], "left")
 
 
 def _count(rule: int) -> Column:
