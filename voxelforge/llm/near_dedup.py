@@ -217,8 +217,8 @@ def links_within(members: list[tuple[int, int, int, bool, bytes, int]], cross: b
         if cross:
             ok &= block != m[1]
         near = np.flatnonzero(ok & (of != of[i]))
-        for part, first in zip(*np.unique(of[near], return_index=True), strict=True):
-            out.append((m[0], members[near[first]][0]))
+        for part, nearest in zip(*np.unique(of[near], return_index=True), strict=True):
+            out.append((m[0], members[near[nearest]][0]))
             of[of == part] = of[i]
     return out
 
