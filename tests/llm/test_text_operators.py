@@ -210,7 +210,7 @@ def test_id_set(spark, corpus):
     docs = frame(spark, corpus)
     wanted = rows.with_key(docs).where("doc_id % 7 = 0").select("_k1", "_k2").distinct()
     got = idset.texts_of(docs, wanted).collect()
-    want = {k: v[1] for k, v in keys(spark, corpus).items() if v[0] != rows.NO_ID and v[0] % 7 == 0}
+    want = {k: v[1] for k, v in keys(spark, corpus).items() if v[0] != 2**63 - 1 and v[0] % 7 == 0}
     assert {(r["_k1"], r["_k2"]): zlib.decompress(r["packed"]).decode() for r in got} == want and len(got) == len(want)
 
 
@@ -373,24 +373,51 @@ def test_quality_estimates_of_sources_change_smoothly_with_their_size(spark):
     assert abs(less - more) < 0.1 and more < less + 0.1 < few + 0.2 and few < 2.5
 
 
-def test_mcd_matches_a_plain_one(spark):
-    """One group: the same steps in numpy, with exact quantiles."""
-    rnd = np.random.default_rng(7)
-    x = np.abs(rnd.normal(size=(500, 4)) * [0.2, 0.3, 0.1, 0.4]) + rnd.normal(size=(500, 1)) * 0.1
-    x[:40] += 5
-    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "grp string, x0 double, x1 double, x2 double, x3 double")
-    got = quality.estimates(df).first()
+def plain_steps(x, m, s):
+    """Concentration steps over the rows themselves, with exact halves: centre, covariance and log-determinant at their end."""
     floor = np.diag([v**2 for v in quality.FEATURES.values()])
-    half = lambda v: np.sort(v, axis=0)[(len(v) - 1) // 2]
-    m = half(x)
-    s = np.diag((1.4826 * half(np.abs(x - m))) ** 2)
-    for step in range(quality.STEPS):
+    out = (m, s, np.inf)
+    while True:
         d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s + floor), x - m)
-        near = x[d <= np.sort(d)[int(np.ceil(quality.SHARE * len(d))) - 1]]
-        m, s = near.mean(axis=0), np.cov(near.T, bias=True) * (quality.consistency() if step == quality.STEPS - 1 else 1)
-    low = np.linalg.cholesky(s + floor)
-    assert [got[f"m{i}"] for i in range(4)] == pytest.approx(m.tolist(), rel=1e-6)
-    assert [got[f"l{i}{j}"] for i in range(4) for j in range(i + 1)] == pytest.approx([low[i, j] for i in range(4) for j in range(i + 1)], rel=1e-6)
+        near = x[np.argsort(d, kind="stable")[: len(x) // 2]]
+        m, s = near.mean(axis=0), np.cov(near.T, bias=True)
+        volume = np.linalg.slogdet(s + floor)[1]
+        if not volume < out[2] - 1e-6:
+            return out
+        out = (m, s, volume)
+
+
+def counted(spark, x):
+    """Rows as counted vectors of one group, with each row twice in place of one."""
+    return spark.createDataFrame([("g", *map(float, r), 2) for r in x], "grp string, x0 double, x1 double, x2 double, x3 double, n long")
+
+
+def test_mcd_takes_the_start_of_the_smallest_determinant(spark):
+    """Two clusters of which the larger must win: one start ends in a determinant ten times as large, and 40 random starts find none smaller."""
+    rnd = np.random.default_rng(23)
+    one, two, off = rnd.normal(size=(4, 4)), rnd.normal(size=(4, 4)), rnd.normal(size=4) * 2
+    x = np.vstack([rnd.normal(size=(240, 4)) @ one.T, rnd.normal(size=(160, 4)) @ two.T * 0.6 + off])
+    rows = counted(spark, x)
+    each = {r["start"]: r["volume"] for r in quality.settled(rows).collect()}
+    got = quality.spreads(rows).first()
+    assert set(each) == set(quality.STARTS)
+    assert got["volume"] == min(each.values()) and max(each.values()) > got["volume"] + 2
+    plain = min((plain_steps(x, x[i].mean(axis=0), np.cov(x[i].T)) for i in (rnd.choice(400, 12, replace=False) for _ in range(40))), key=lambda r: r[2])
+    assert got["volume"] <= plain[2] + 0.02
+    assert [got[f"m{i}"] for i in range(4)] == pytest.approx(plain[0].tolist(), abs=0.05)
+    scaled = plain[1] * quality.consistency()
+    assert [got[f"s{i}{j}"] for i in range(4) for j in range(i + 1)] == pytest.approx([scaled[i, j] for i in range(4) for j in range(i + 1)], rel=0.05, abs=0.05)
+
+
+def test_mcd_ignores_junk_and_counts_rows(spark):
+    """A third of the rows far off leave the estimate where the clean rows alone have it."""
+    rnd = np.random.default_rng(7)
+    clean = rnd.normal(size=(400, 4)) * [0.2, 0.3, 0.1, 0.4]
+    junk = rnd.normal(size=(200, 4)) * 0.01 + 5
+    got = quality.spreads(counted(spark, np.vstack([clean, junk]))).first()
+    assert [got[f"m{i}"] for i in range(4)] == pytest.approx([0.0] * 4, abs=0.08)
+    folded = quality.spreads(counted(spark, np.vstack([clean, junk])).groupBy("grp", *quality.NAMES).agg(quality.F.sum("n").alias("n"))).first()
+    assert [folded[c] for c in (*quality.CENTRES, *quality.SPREADS)] == pytest.approx([got[c] for c in (*quality.CENTRES, *quality.SPREADS)], rel=1e-9)
 
 
 def test_keep_good_keeps_repeats(spark, corpus):
