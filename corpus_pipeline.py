@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voxelforge.llm import exact_dedup, mixing, near_dedup, packing, quality
-from voxelforge.session import cut, table
+from voxelforge.session import discard, stored, table
 
 #: Near-duplicates: words in a shingle and percent of similarity.
 WORDS, PERCENT = 5, 80
@@ -52,8 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, one after the other, over documents; what a stage keeps is written before the next reads it."""
+    """The stages, one after the other, over documents; what a stage keeps is written as Parquet in the shared folder
+    before the next reads it, and removed when the one after that has been written."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        kept = stored(stage(spark, docs, sf_dir))
+        if i:
+            discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
