@@ -46,6 +46,10 @@ def test_only_ids_raises_for_an_absent_one(spark):
     with pytest.raises(Exception, match="absent id"):
         S.only_ids(spark.range(3), spark.range(2, 5), "id").collect()
     assert S.only_ids(spark.range(3), spark.range(2), "id").count() == 2
+    twice = spark.range(3).union(spark.range(1))
+    for rows, ids in ((twice, spark.range(2)), (spark.range(3), twice)):
+        with pytest.raises(Exception, match="repeated"):
+            S.only_ids(rows, ids, "id").collect()
 
 
 def test_components_against_a_plain_union(spark):
@@ -274,3 +278,26 @@ def test_exact_quantiles_against_numpy(spark):
     told = {r["g"]: r for r in quality.distribution(df, "v", ["g"]).collect()}
     assert (told["c"]["n_finite"], told["c"]["n_null"], told["d"]["quantiles"]) == (257, 1, [])
     assert quality.distribution(spark.createDataFrame([], "v double"), "v").count() == 0
+
+
+@pytest.mark.parametrize("number,ok", [(6, True), (16, True), (12, True), (99, False), (None, False)])
+def test_vdw_radius_raises_for_an_unknown_element(spark, number, ok):
+    from voxelforge.functions.chemistry import vdw_radius
+
+    df = spark.createDataFrame([(number,)], "n int").select(vdw_radius(F.col("n"), {12: 1.73}).alias("r"))
+    if ok:
+        assert df.first()["r"] > 1.5
+    else:
+        with pytest.raises(Exception, match="no radius"):
+            df.collect()
+
+
+def test_small_join_deals_hot_keys(spark, monkeypatch):
+    """Beyond the size that is broadcast, with a key of half of the rows: the rows are those of a plain join."""
+    monkeypatch.setattr(joins, "FEW", 3)
+    monkeypatch.setattr(joins, "PARTS", 16)
+    rows = spark.range(400).selectExpr("id", "IF(id % 2 = 0, 0, id) AS k")
+    small = spark.range(0, 300).selectExpr("id AS k", "id * 2 AS v")
+    for how in ("inner", "left"):
+        got, want = joins.small_join(rows, small, "k", ["id"], how), rows.join(small, "k", how)
+        assert sorted(map(str, got.select("k", "id", "v").collect())) == sorted(map(str, want.select("k", "id", "v").collect()))

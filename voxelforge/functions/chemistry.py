@@ -58,8 +58,9 @@ def one_hot(code: Column, size: int) -> Column:
 
 
 def vdw_radius(atomic_number: Column, more: dict[int, float] | None = None) -> Column:
-    """The radius of an element; `more` holds elements beyond the fixed ones, of which a missing one is null."""
-    return _lookup(X.VDW_RADII | {k: v for k, v in (more or {}).items() if k not in X.VDW_RADII}, atomic_number)
+    """The radius of an element; `more` holds elements beyond the fixed ones. One that neither has raises when read."""
+    found = _lookup(X.VDW_RADII | {k: v for k, v in (more or {}).items() if k not in X.VDW_RADII}, atomic_number)
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("no radius for element "), F.coalesce(atomic_number.cast("string"), F.lit("null")))).cast("double"))
 
 
 def features(element: Column, comp: Column, shells: Column) -> Column:
@@ -68,10 +69,11 @@ def features(element: Column, comp: Column, shells: Column) -> Column:
     residue = feature_residue(comp)
     elements = [flag(element == e) for e in X.FEATURE_ELEMENTS] + [flag(~element.isin(X.FEATURE_ELEMENTS))]
     residues = [flag(residue == r) for r in X.FEATURE_RESIDUES] + [flag(~residue.isin(X.FEATURE_RESIDUES))]
-    bits = F.coalesce(_lookup(X.PHYSICO_CHEMICAL, residue), F.lit(X.PHYSICO_CHEMICAL_OTHER))
-    physico = [F.substr(bits, F.lit(i), F.lit(1)).cast("float") for i in range(1, 9)]
+    known = {k: F.array(*[F.lit(v).cast("float") for v in row]) for k, row in X.PHYSICO_CHEMICAL.items()}
+    table = F.create_map(*[c for k, row in known.items() for c in (F.lit(k), row)])
+    physico = F.coalesce(F.try_element_at(table, residue), known["UNK"])
     mass = (F.coalesce(_lookup(X.MASSES, element), F.lit(X.OTHER_MASS)) / X.MASS_UNIT).cast("float")
-    return F.concat(F.array(*elements, *residues, *physico, mass), F.transform(shells, lambda n: F.log1p(n.cast("double")).cast("float")))
+    return F.concat(F.array(*elements, *residues), physico, F.array(mass), F.transform(shells, lambda n: F.log1p(n.cast("double")).cast("float")))
 
 
 def is_finite(c: Column) -> Column:

@@ -108,6 +108,7 @@ def fatal_matches(log: Column) -> Column:
     return F.array_compact(F.array(*[F.when(rest.rlike(p), i) for i, p in enumerate(FATAL)]))
 
 
+#: Fixed value: how a tool writes a number.
 NUMBER = r"[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?"
 
 
@@ -121,9 +122,6 @@ def correlations(log: Column, begin: str, end: str) -> Column:
     return F.when(one, F.struct(F.get(plain, F.lit(0)).cast("double").alias("plain"), F.get(mean, F.lit(0)).cast("double").alias("about_mean")))
 
 
-TRANSIENT = r"\.(cif|map|mrc)$|\.(cif|map|mrc)\.tmp\."
-
-
 def transient_type(name: Column) -> Column:
     """cif_tmp and its like for a file that is being written, cif and its like for an intermediate, else null."""
     low = F.lower(name)

@@ -69,10 +69,15 @@ def atom_only(atoms: DataFrame) -> DataFrame:
 
 def only_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ids; an absent id or a repeated key raises when read."""
-    wanted = ids.select(key).distinct()
-    told = rows.withColumn("_here", F.lit(True)).join(wanted, key, "right")
-    ok = F.when(F.col("_here").isNull(), F.raise_error(F.concat(F.lit("absent id: "), F.col(key).cast("string")))).otherwise(F.lit(True))
-    return told.where(ok).drop("_here")
+    wanted = ids.groupBy(key).agg(F.count("*").alias("_wanted"))
+    there = rows.groupBy(key).agg(F.count("*").alias("_there"))
+    fault = lambda text: F.raise_error(F.concat(F.lit(text), F.col(key).cast("string")))
+    ok = (
+        F.when(F.col("_there").isNull(), fault("absent id: ")).when(F.col("_there") > 1, fault("repeated key: "))
+        .when(F.col("_wanted") > 1, fault("repeated id: ")).otherwise(F.lit(True))
+    )
+    checked = wanted.join(there, key, "left").where(ok).select(key)
+    return rows.join(checked, key)
 
 
 def place_of(rows: DataFrame, order: list[Column], name: str = "place") -> DataFrame:

@@ -86,25 +86,29 @@ def categorical_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT o_orderkey, round(avg(l_extendedprice), 6) AS q, round(median(l_extendedprice), 4) AS q_median, min(l_extendedprice) AS q_min, count(l_extendedprice) AS q_n,
+SELECT o_orderkey, round(avg(l_extendedprice), 6) AS q, round(CAST(CAST(median(l_extendedprice) AS FLOAT) AS DOUBLE), 4) AS q_median, min(l_extendedprice) AS q_min, count(l_extendedprice) AS q_n,
   CASE WHEN count(l_extendedprice) > 0 THEN 'ok' ELSE 'no_receptor_atoms_within_radius' END AS status
 FROM orders LEFT JOIN (SELECT l_orderkey, l_extendedprice FROM {LINES} WHERE l_linestatus = 'F') ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def q_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = lines(spark, sf_dir).where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("q"))
-    by = scores.groupBy("o_orderkey").agg(F.avg("q").alias("q"), F.median("q").alias("q_median"), F.min("q").alias("q_min"), F.count("q").alias("q_n"))
-    told = table(spark, sf_dir, "orders").select("o_orderkey").join(by, "o_orderkey", "left").withColumn("q_n", F.coalesce("q_n", F.lit(0)))
-    return told.select("o_orderkey", F.round("q", 6).alias("q"), F.round("q_median", 4).alias("q_median"), "q_min", "q_n", quality.pocket_status(F.col("q_n")).alias("status"))
+    told = quality.score_rows(table(spark, sf_dir, "orders").select("o_orderkey"), scores, ["o_orderkey"], "q")
+    return told.select(
+        "o_orderkey", F.round("q", 6).alias("q"), F.round(F.col("q_median").cast("double"), 4).alias("q_median"), "q_min", "q_n", quality.pocket_status(F.col("q_n")).alias("status")
+    )
 
 
 @query(f"""
-WITH e AS (SELECT user_id, value AS a, lead(value) OVER (PARTITION BY user_id ORDER BY event_id) AS b, k FROM {EVENTS})
-SELECT user_id, round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cc_all, round(corr(a, b), 6) AS cc_all_about_mean
-FROM e WHERE b IS NOT NULL AND a <> 0 GROUP BY user_id HAVING count(*) > 2""")
+WITH e AS (SELECT user_id, value AS a, lead(value) OVER (PARTITION BY user_id ORDER BY event_id) AS b, user_id % 40 + 20.0 AS level FROM {EVENTS}),
+  m AS (SELECT * FROM e WHERE b IS NOT NULL AND a <> 0), k AS (SELECT user_id FROM m GROUP BY 1 HAVING count(*) > 2 AND count(*) FILTER (a >= level) > 2)
+SELECT user_id, round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cc_all, round(corr(a, b), 6) AS cc_all_about_mean,
+  round(sum(a * b) FILTER (a >= level) / sqrt(sum(a * a) FILTER (a >= level) * sum(b * b) FILTER (a >= level)), 6) AS cc_contour, round(corr(a, b) FILTER (a >= level), 6) AS cc_contour_about_mean
+FROM m WHERE user_id IN (SELECT user_id FROM k) GROUP BY user_id""")
 def cc_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.next_in_chain(events(spark, sf_dir), ["user_id"], [F.col("event_id")], ["value"]).where("next_value IS NOT NULL AND value <> 0")
-    n = rows.groupBy("user_id").count().where("count > 2").select("user_id")
-    got = quality.map_correlations(rows.join(n, "user_id", "left_semi"), ["user_id"], "value", "next_value")
-    return got.select("user_id", F.round("cc_all", 6).alias("cc_all"), F.round("cc_all_about_mean", 6).alias("cc_all_about_mean"))
+    rows = rows.withColumn("level", (F.col("user_id") % 40).cast("double") + 20.0)
+    n = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("value") >= F.col("level")).alias("k")).where("n > 2 AND k > 2").select("user_id")
+    got = quality.map_correlations(rows.join(n, "user_id", "left_semi"), ["user_id"], "value", "next_value", "level")
+    return got.select("user_id", *[F.round(c, 6).alias(c) for c in ("cc_all", "cc_all_about_mean", "cc_contour", "cc_contour_about_mean")])
 
 
 @query("""
@@ -159,9 +163,12 @@ def cc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", F.array_join(gates.correlation_codes(F.lit(False)), ",").alias("codes"))
 
 
-@query("SELECT s_suppkey AS key, 'left' AS side FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem) UNION ALL SELECT DISTINCT l_suppkey, 'right' FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)")
+@query("""
+WITH a AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity < 5), b AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity > 46)
+SELECT key, 'left' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT key, 'right' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.equal_sets(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key")), table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("key")).distinct())
+    of = lambda which: table(spark, sf_dir, "lineitem").where(which).select(F.col("l_partkey").alias("key")).distinct()
+    return joins.equal_sets(of("l_quantity < 5"), of("l_quantity > 46"))
 
 
 @query("""
@@ -188,8 +195,11 @@ def pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.pair_index(pairs).select("emdb_id", "n", F.array_join("pdb_ids", ",").alias("pdb_ids"))
 
 
-@query("SELECT event_type, CASE WHEN event_type IN ('click') THEN 'other' ELSE 'other' END AS kind, count(*) AS n FROM events GROUP BY 1, 2")
+@query("""
+SELECT code, CASE WHEN code IN ('missing_map', 'missing_meta', 'no_occurrences') THEN 'known' WHEN code IN ('timeout', 'fatal_log') THEN 'tool' ELSE 'other' END AS kind, count(*) AS n
+FROM (SELECT (['missing_map', 'timeout', 'ValueError', 'missing_meta', 'fatal_log', 'Timeout', 'no_occurrences'])[1 + event_id % 7] AS code FROM events) GROUP BY 1, 2""")
 def failure_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voxelforge.functions.chemistry import failure_kind
 
-    return quality.counts(events(spark, sf_dir).withColumn("kind", failure_kind(F.col("event_type"))), ["event_type", "kind"])
+    code = "element_at(array('missing_map', 'timeout', 'ValueError', 'missing_meta', 'fatal_log', 'Timeout', 'no_occurrences'), int(1 + event_id % 7)) AS code"
+    return quality.counts(events(spark, sf_dir).selectExpr(code).withColumn("kind", failure_kind(F.col("code"))), ["code", "kind"])

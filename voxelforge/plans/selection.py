@@ -43,11 +43,10 @@ def modulo_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.shard(table(spark, sf_dir, "orders").select("o_orderkey"), [F.col("o_orderkey")], 48)
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def explicit_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return S.only_ids(orders, ids.join(orders, "o_custkey", "left_semi"), "o_custkey").select("o_orderkey", "o_custkey")
+    ids = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return S.only_ids(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ids, "c_custkey")
 
 
 _EDGES = """(SELECT 1000 + n_nationkey AS src, n_regionkey AS dst FROM nation UNION ALL SELECT 10000000 + s_suppkey, 1000 + s_nationkey FROM supplier
@@ -175,7 +174,7 @@ def occurrence_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.residues(told).join(who, ["pdb_id", "candidate_id"]).select(F.col("pdb_id").alias("key"), "candidate", "n_residues", "n_atoms", "kind")
 
 
-@query("SELECT DISTINCT p_partkey AS key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)")
+@query("SELECT DISTINCT p_partkey AS key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity < 5)")
 def dependency_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    of = lambda name, c: table(spark, sf_dir, name).select(F.col(c).alias("key"))
-    return joins.missing(of("part", "p_partkey"), of("lineitem", "l_partkey"), ["key"])
+    there = table(spark, sf_dir, "lineitem").where("l_quantity < 5").select(F.col("l_partkey").alias("key"))
+    return joins.missing(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key")), there, ["key"])
