@@ -80,6 +80,10 @@ def test_write_once_and_validated(spark, tmp_path):
     with pytest.raises(ValueError):
         files.write_validated(spark.range(9), str(tmp_path / "v"), str(tmp_path / "s"), lambda d: d.where("id > 5"))
     assert spark.read.parquet(str(tmp_path / "v")).count() == 3
+    assert files.write_validated(spark.range(5), str(tmp_path / "v"), str(tmp_path / "s"), lambda d: d.where("id > 5")).count() == 5
+    with pytest.raises(FileNotFoundError):
+        files.replace_folder(spark, str(tmp_path / "absent"), str(tmp_path / "v"))
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 5 and not list(tmp_path.glob("*.before-*"))
 
 
 def test_arrays(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,14 +37,36 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_validated(df: DataFrame, path: str, staging: str, violations: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Writes to staging, asks the written rows for violations, and only then replaces what is at path."""
+    """Writes to staging, asks the written rows for violations, and only then puts them in the place of what is at path.
+
+    Folders are renamed, rows aren't written twice: the old folder is moved aside, staging takes its place, and only then
+    the old one goes; if staging can't take its place the old one comes back. Both must be on one file system.
+    """
+    spark = df.sparkSession
     df.write.mode("overwrite").parquet(staging)
-    written = df.sparkSession.read.parquet(staging)
-    bad = violations(written).limit(20).collect()
+    bad = violations(spark.read.parquet(staging)).limit(20).collect()
     if bad:
         raise ValueError(f"not promoted: {bad}")
-    written.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    replace_folder(spark, staging, path)
+    return spark.read.parquet(path)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Moves the folder `new` to path; what was there stays beside it until that is done, and comes back if it fails."""
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    source, target, aside = name(new), name(path), name(f"{path.rstrip('/')}.before-{uuid.uuid4().hex}")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(source):
+        raise FileNotFoundError(new)
+    there = store.exists(target)
+    if there and not store.rename(target, aside):
+        raise OSError(f"{path} can't be moved aside")
+    if not store.rename(source, target):
+        if there:
+            store.rename(aside, target)
+        raise OSError(f"{new} can't be moved to {path}")
+    if there:
+        store.delete(aside, True)
 
 
 def write_once(df: DataFrame, path: str) -> bool:
