@@ -301,3 +301,29 @@ def test_small_join_deals_hot_keys(spark, monkeypatch):
     for how in ("inner", "left"):
         got, want = joins.small_join(rows, small, "k", ["id"], how), rows.join(small, "k", how)
         assert sorted(map(str, got.select("k", "id", "v").collect())) == sorted(map(str, want.select("k", "id", "v").collect()))
+
+
+def test_watch_log(spark, tmp_path):
+    """The last line of the newest file counts, though its number is smaller and its name comes first."""
+    import os
+
+    from voxelforge.streaming import journal
+
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name, lines, at in (("b.log", ["Done 3 tasks", "Done 90 tasks", "nothing"], 1000), ("a.log", ["Done 40 tasks", "Done 12 tasks", "x"], 2000)):
+        (logs / name).write_text("\n".join(lines) + "\n")
+        os.utime(logs / name, (at, at))
+    got = []
+    stream = journal.watch_log(spark, str(logs), lambda batch, done: got.append(done)).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    stream.awaitTermination(60)
+    assert got[-1] == 12
+
+
+def test_summary_of_nothing(spark):
+    from voxelforge.operators import quality
+
+    rows = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, None)], "k int, v double")
+    assert quality.summary(rows, "v").collect() == [(2, 6.0, 3.0, 4.0)]
+    assert quality.summary(rows.limit(0), "v").collect() == [(0, 0.0, 0.0, 0.0)]
+    assert sorted(quality.summary(rows, "v", ["k"]).collect()) == [(1, 2, 6.0, 3.0, 4.0), (2, 0, 0.0, 0.0, 0.0)]

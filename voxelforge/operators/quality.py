@@ -111,11 +111,11 @@ def describe(config: FilterConfig) -> dict:
 def exact_quantiles(rows: DataFrame, column: str, by: list[str], quantiles: list[float]) -> DataFrame:
     """(by..., quantiles): linearly interpolated, exact, nulls left out.
 
-    Rows are sorted by range over all partitions, and only the two rows around
-    each quantile are picked, by their place; no task holds a group.
+    Rows are sorted by range over all partitions, equal ones by where they come from, and only
+    the two rows around each quantile are picked, by their place; no task holds a group or all rows of a value.
     """
-    values = rows.select(*by, F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL")
-    placed = place_of(values, [*[F.col(c) for c in by], F.col("_v")], "_place")
+    values = rows.select(*by, F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL").withColumn("_tie", F.monotonically_increasing_id())
+    placed = place_of(values, [*[F.col(c) for c in by], F.col("_v"), F.col("_tie")], "_place")
     sizes = placed.groupBy(*by).agg(F.min("_place").alias("_start"), F.count("*").alias("_n"))
     asked = F.posexplode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("_i", "_q")
     at = sizes.select(*by, "_start", "_n", asked).withColumn("_at", F.col("_q") * (F.col("_n") - 1))
@@ -154,10 +154,13 @@ def against_one(rows: DataFrame, column: str, by: list[str] | None = None) -> Da
 
 
 def summary(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
-    """n, sum, median and max, zeros without rows."""
+    """n, sum, median (by exact_quantiles) and max, zeros without rows."""
+    if not by:  # a null counts nowhere, and gives an empty table its row of zeros
+        rows = rows.select(column).unionByName(rows.sparkSession.range(1).select(F.lit(None).cast(rows.schema[column].dataType).alias(column)))
     c = F.col(column)
     zero = lambda x, n: F.coalesce(x, F.lit(0)).alias(n)
-    return (rows.groupBy(*by) if by else rows).agg(F.count(c).alias("n"), zero(F.sum(c), "sum"), zero(F.percentile(c, F.lit(0.5)), "median"), zero(F.max(c), "max"))
+    got = _with_quantiles(rows, column, by, [F.count(c).alias("n"), zero(F.sum(c), "sum"), zero(F.max(c), "max")], [0.5])
+    return got.select(*(by or []), "n", "sum", zero(F.get("quantiles", F.lit(0)), "median"), "max")
 
 
 def counts(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -54,15 +54,20 @@ def fresh(at: Column, now: Column, oldest: int = 900, ahead: int = 60) -> Column
     return (age >= -ahead) & (age <= oldest)
 
 
+#: What orders the splits of log files.
+PLACE = ["file_modification_time", "file_path", "file_block_start"]
+
+
 def watch_log(spark: SparkSession, folder: str, on_progress, pattern: str = r"Done\s+(\d+) tasks"):
     """A stream over the files of a log folder; on_progress(batch id, done) gets every batch's last progress.
 
-    The caller starts and stops the query; a batch is read again after a failure, so on_progress must be idempotent.
+    Lines are in the order of their files' times and names, and in a file as they stand. The caller starts and stops the
+    query; a batch is read again after a failure, so on_progress must be idempotent.
     """
-    lines = spark.readStream.format("text").load(folder).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("pos"))
+    lines = spark.readStream.format("text").load(folder).select(F.col("value").alias("line"), F.struct(*[F.col(f"_metadata.{c}") for c in PLACE]).alias("place"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        row = last_progress(batch, "pos", pattern).first()
+        row = last_progress(batch.withColumn("pos", F.struct("place", F.monotonically_increasing_id())), "pos", pattern).first()
         if row and row["done"] is not None:
             on_progress(batch_id, row["done"])
 
