@@ -16,7 +16,7 @@ def test_every_sql_has_its_query():
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
-@pytest.mark.parametrize("name", ["map_filter_keep_list", "pair_reasons", "altloc_pick", "template_align", "nearest_join_tie", "voxel_stencil", "journal_replay", "json_contour"])
+@pytest.mark.parametrize("name", ["map_filter_keep_list", "pair_reasons", "altloc_pick", "template_align", "nearest_join_tie", "voxel_stencil", "journal_replay", "json_contour", "ring_counts", "score_projection", "distribution_against_one", "density_content_faults"])
 def test_query_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

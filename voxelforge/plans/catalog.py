@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxelforge.plans import filtering, scalars, selection, spatial, state, validators  # noqa: F401  they register their queries
+from voxelforge.plans import contracts, filtering, scalars, selection, spatial, state, validators  # noqa: F401  they register their queries
 from voxelforge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
