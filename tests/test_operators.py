@@ -1,4 +1,7 @@
 import math
+import os
+import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 from voxelforge.operators import gates, graph, joins, quality, repair, spatial
 from voxelforge.operators import select as S
 from voxelforge.operators.components import connected_components
+from voxelforge.session import shared_folder
 from voxelforge.streaming import journal
 
 RAW = ["id", "group_PDB", "type_symbol", "label_atom_id", "label_alt_id", "label_comp_id", "label_asym_id", "label_entity_id", "label_seq_id", "auth_seq_id", "pdbx_PDB_ins_code", "occupancy", "Cartn_x", "Cartn_y", "Cartn_z", "pdbx_PDB_model_num"]
@@ -192,6 +196,61 @@ def test_path_graph(spark):
     assert graph.ring_count(ring, ["key"]).first()["rings"] == 1
 
 
+def rings_of(edges):
+    """By union and find: {key: edges that close a ring}."""
+    root, rings = {}, {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for k, u, v in {(k, min(u, v), max(u, v)) for k, u, v in edges}:
+        a, b = find((k, u)), find((k, v))
+        rings[k] = rings.get(k, 0) + (a == b)
+        root[a] = b
+    return rings
+
+
+@pytest.mark.parametrize("whole", [1 << 18, 40, 0])
+def test_rings_in_tasks_and_by_parts(spark, monkeypatch, whole):
+    monkeypatch.setattr(graph, "WHOLE", whole)
+    draw = random.Random(5)
+    sizes = [1, 2, 3, 5, 30, 60, 200]
+    edges = [(None if i == 9 else i, draw.randrange(n), draw.randrange(n)) for i in range(40) for n in [draw.choice(sizes)] for _ in range(n)]
+    edges += [(40, i, i + 1) for i in range(3000)] + [(41, 3000 - i, 9000) for i in range(3000)] + [(42, i, (7 * i + 1) % 500) for i in range(500)]
+    draw.shuffle(edges)
+    told = spark.createDataFrame(edges, "key int, src int, dst int").repartition(5)
+    got = graph.ring_count(told, ["key"]).collect()
+    assert len(got) == 43 and {r["key"]: r["rings"] for r in got} == rings_of(edges)
+    named = told.selectExpr("key AS a", "string(key) AS b", "string(src) AS src", "string(dst) AS dst").where("key < 9")
+    assert {r["a"]: r["rings"] for r in graph.ring_count(named, ["a", "b"]).collect()} == {k: n for k, n in rings_of(edges).items() if k is not None and k < 9}
+    assert graph.ring_count(told.limit(0), ["key"]).count() == 0
+
+
+def test_graph_over_several_batches(spark):
+    edges = [(i % 3, j, (j + 1) % (50 + i)) for i in range(7) for j in range(50 + i)]
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = graph.ring_count(spark.createDataFrame(edges, "key int, src int, dst int"), ["key"]).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    assert {r["key"]: r["rings"] for r in got} == rings_of(edges)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_rings_of_small_graphs_take_little_disk(spark):
+    """What the query shuffles and leaves in the shared folder, against its input."""
+    import __spark_entry__ as entry
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    used = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file()) + spark._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = used()
+    assert entry.queries()["ring_counts"](spark, "/root/testdata/sf0.01").count() == 13902
+    assert used() - before < 4 * os.path.getsize("/root/testdata/sf0.01/lineitem.parquet")
+
+
 def test_bonds_override(spark):
     of = lambda *r: spark.createDataFrame(list(r), "p string, src int, dst int, type string")
     got = graph.receptor_bonds(of(("a", 1, 0, "single"), ("a", 2, 2, "single")), of(("a", 0, 1, "")), of(("a", 0, 1, "hydrog"), ("a", 3, 4, "disulf")), ["p"])

@@ -6,12 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxelforge.functions import fixed as X
 from voxelforge.operators.components import connected_components
-from voxelforge.session import cut
+from voxelforge.session import cut, stored
+
+#: Edges of a graph that ring_count holds in a task at most.
+WHOLE = 1 << 18
 
 
 def occurrences(atoms: DataFrame, edges: DataFrame, entry: str = "pdb_id") -> DataFrame:
@@ -90,13 +95,72 @@ def local_scalars(paths: DataFrame, key: list[str], hops: int = 3) -> DataFrame:
 
 
 def ring_count(edges: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., rings): edges less nodes plus connected parts, the number of independent rings."""
-    node = lambda c: F.to_json(F.struct(*key, F.col(c).alias("_node")))
-    one = edges.select(*key, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    nodes = one.select(*key, "src").union(one.select(*key, "dst")).distinct().groupBy(*key).agg(F.count("*").alias("v"))
-    parts = connected_components(one.select(node("src").alias("src"), node("dst").alias("dst")))
-    each = parts.select("component").distinct().select(F.from_json("component", edges.select(*key).schema).alias("k")).select("k.*").groupBy(*key).agg(F.count("*").alias("c"))
-    return one.groupBy(*key).agg(F.count("*").alias("e")).join(nodes, key).join(each, key).select(*key, (F.col("e") - F.col("v") + F.col("c")).alias("rings"))
+    """(key..., rings): edges less nodes plus connected parts, the number of independent rings. A null key is a key.
+
+    Edges are written once. A graph of up to WHOLE edges is a task's, with many others in one batch; so the edges move once,
+    by key. Larger graphs, of which there are few, go through connected_components.
+    """
+    one = stored(edges.select(*key, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")))
+    large = cut(one.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > WHOLE).select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(key)]))
+    if not large.take(1):
+        return _rings_in_tasks(one, key)
+    same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(key)]
+    rest, of_large = (one.join(F.broadcast(large), same, how) for how in ("left_anti", "left_semi"))
+    return _rings_in_tasks(rest, key).unionByName(_rings_by_parts(of_large, key))
+
+
+def _rings_in_tasks(edges: DataFrame, key: list[str]) -> DataFrame:
+    """ring_count of graphs that a task can hold; src <= dst, edges may repeat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            starts = np.flatnonzero(batch["_at"].to_numpy() == 1)
+            if len(starts):
+                yield from counted([*held, batch.slice(0, starts[-1])])
+                held = []
+                batch = batch.slice(starts[-1])
+            held.append(batch)
+        yield from counted(held)
+
+    def counted(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if sum(b.num_rows for b in batches):
+            rows = pa.Table.from_batches(batches).combine_chunks()
+            first = rows["_at"].to_numpy() == 1
+            codes = pa.concat_arrays([*rows["src"].chunks, *rows["dst"].chunks]).dictionary_encode("encode").indices.to_numpy()
+            rings = cycle_ranks(np.cumsum(first) - 1, codes[: len(first)], codes[len(first) :])
+            yield from rows.select(key).filter(pa.array(first)).append_column("rings", pa.array(rings, pa.int64())).to_batches()
+
+    ordered = edges.withColumn("_at", F.row_number().over(Window.partitionBy(*key).orderBy("src", "dst")))
+    return ordered.mapInArrow(run, T.StructType([*edges.select(*key).schema, T.StructField("rings", T.LongType())]))
+
+
+def cycle_ranks(graph: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """The number of independent rings of each graph, 0 to the last. Edges may repeat, with their ends in the same order."""
+    wide = int(max(src.max(), dst.max())) + 1
+    nodes, ends = np.unique(np.concatenate([graph * wide + src, graph * wide + dst]), return_inverse=True)
+    u, v = np.divmod(np.unique(ends[: len(src)] * len(nodes) + ends[len(src) :]), len(nodes))
+    of, many = nodes // wide, int(graph[-1]) + 1
+    root = np.arange(len(nodes))
+    a, b = u, v
+    while len(a):
+        # The larger of two roots goes to the smallest that it meets; then all nodes go to their roots.
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root != (up := root[root])).any():
+            root = up
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    parts = of[root == np.arange(len(nodes))]
+    return np.bincount(of[u], minlength=many) - np.bincount(of, minlength=many) + np.bincount(parts, minlength=many)
+
+
+def _rings_by_parts(edges: DataFrame, key: list[str]) -> DataFrame:
+    """ring_count of graphs of any size: each edge counts one, each node but the smallest of its part one less."""
+    node = lambda c: F.struct(*key, F.col(c).alias("_node")).alias(c)
+    pairs = edges.distinct()
+    parts = connected_components(pairs.select(node("src"), node("dst")))
+    less = parts.select("node.*", F.when(F.col("node") == F.col("component"), 0).otherwise(-1).alias("_n"))
+    return pairs.select(*key, F.lit(1).alias("_n")).unionByName(less.select(*key, "_n")).groupBy(*key).agg(F.sum("_n").alias("rings"))
 
 
 def graph_energy(edges: DataFrame, key: str) -> DataFrame:

@@ -127,13 +127,18 @@ def fresh_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT l_orderkey, CASE WHEN count(*) >= 3 AND l_orderkey % 2 = 1 THEN 1 ELSE 0 END AS rings FROM lineitem GROUP BY l_orderkey HAVING count(*) >= 2 OR l_orderkey % 4 = 0""")
 def ring_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chains of an order's lines; odd orders close theirs, some have edges twice, some a part of their own."""
-    rows = lines(spark, sf_dir).select("l_orderkey", "candidate_id")
-    chain = rows.where("candidate_id > 0").selectExpr("l_orderkey", "candidate_id - 1 AS src", "candidate_id AS dst")
-    closing = rows.groupBy("l_orderkey").agg(F.max("candidate_id").alias("src")).where("src >= 2 AND l_orderkey % 2 = 1").selectExpr("l_orderkey", "src", "0L AS dst")
-    apart = rows.where("l_orderkey % 4 = 0 AND candidate_id = 0").selectExpr("l_orderkey", "100L AS src", "101L AS dst")
-    back = chain.where("l_orderkey % 3 = 0").selectExpr("l_orderkey", "dst AS src", "src AS dst")
-    return graph.ring_count(chain.union(closing).union(apart).union(back), ["l_orderkey"])
+    """Chains of an order's lines; odd orders close theirs, some have edges twice, some a part of their own.
+
+    Lines that share a number may stand in any order: places only name the nodes. All edges come from one pass over the places.
+    """
+    rows = S.ranked(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey"], [F.col("l_linenumber")], "at")
+    edge = "named_struct('src', {}, 'dst', {})".format
+    chain, back = f"IF(at > 0, {edge('at - 1', 'at')}, NULL)", f"IF(at > 0 AND l_orderkey % 3 = 0, {edge('at', 'at - 1')}, NULL)"
+    closing = f"IF(at >= 2 AND at = n - 1 AND l_orderkey % 2 = 1, {edge('at', '0L')}, NULL)"
+    apart = f"IF(at = 0 AND l_orderkey % 4 = 0, {edge('100L', '101L')}, NULL)"
+    told = rows.selectExpr("l_orderkey", "at", "count(*) OVER (PARTITION BY l_orderkey) AS n")
+    edges = told.selectExpr("l_orderkey", f"inline(array({chain}, {closing}, {apart}, {back}))").where("src IS NOT NULL")
+    return graph.ring_count(edges, ["l_orderkey"])
 
 
 _VOXELS = """(SELECT l_suppkey AS map_id, l_linenumber AS z, l_partkey % 5 AS y, l_orderkey % 5 AS x, CASE l_suppkey % 5 WHEN 0 THEN 0.0 WHEN 1 THEN 2.0

@@ -30,7 +30,7 @@ def sound(spark: SparkSession) -> SparkSession:
 
     Spark 4.1 takes it as partitioned by a key where all its children are. Adaptive execution may still coalesce the
     children's partitions unlike each other; a later aggregate or join by that key, planned without a shuffle, then finds
-    a key in several partitions and gives it several rows. ring_counts in the tests is a case of this.
+    a key in several partitions and gives it several rows. ring_counts was a case of this while its edges were a union.
     """
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark
