@@ -228,6 +228,15 @@ def test_rings_in_tasks_and_by_parts(spark, monkeypatch, whole):
     assert graph.ring_count(told.limit(0), ["key"]).count() == 0
 
 
+def test_rings_of_large_graphs_by_blocks(spark, monkeypatch):
+    """Long chains, of which every edge is there three times: blocks leave so few parts that no components are sought."""
+    monkeypatch.setattr(graph, "WHOLE", 50)
+    monkeypatch.setattr(graph, "connected_components", None)
+    edges = [(k, i, (i + 1) % 400 if k else i + 1) for k in (0, 1, None) for i in range(400)] * 3
+    got = graph.ring_count(spark.createDataFrame(edges, "key int, src int, dst int").repartition(4), ["key"]).collect()
+    assert sorted((str(r["key"]), r["rings"]) for r in got) == [("0", 0), ("1", 1), ("None", 0)]
+
+
 def test_graph_over_several_batches(spark):
     edges = [(i % 3, j, (j + 1) % (50 + i)) for i in range(7) for j in range(50 + i)]
     held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")

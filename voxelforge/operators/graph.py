@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,15 +99,17 @@ def ring_count(edges: DataFrame, key: list[str]) -> DataFrame:
     """(key..., rings): edges less nodes plus connected parts, the number of independent rings. A null key is a key.
 
     Edges are written once. A graph of up to WHOLE edges is a task's, with many others in one batch; so the edges move once,
-    by key. Larger graphs, of which there are few, go through connected_components.
+    by key. Larger graphs, of which there are few, are dealt into blocks.
     """
     one = stored(edges.select(*key, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")))
-    large = cut(one.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > WHOLE).select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(key)]))
+    large = one.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > WHOLE)
+    large = cut(large.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(key)], F.monotonically_increasing_id().alias("_graph")))
     if not large.take(1):
         return _rings_in_tasks(one, key)
     same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(key)]
-    rest, of_large = (one.join(F.broadcast(large), same, how) for how in ("left_anti", "left_semi"))
-    return _rings_in_tasks(rest, key).unionByName(_rings_by_parts(of_large, key))
+    rings = _rings_by_blocks(one.join(F.broadcast(large), same).select("_graph", "src", "dst")).join(F.broadcast(large), "_graph")
+    rest = one.join(F.broadcast(large), same, "left_anti")
+    return _rings_in_tasks(rest, key).unionByName(rings.select(*[F.col(f"_{i}").alias(k) for i, k in enumerate(key)], "rings"))
 
 
 def _rings_in_tasks(edges: DataFrame, key: list[str]) -> DataFrame:
@@ -128,21 +131,22 @@ def _rings_in_tasks(edges: DataFrame, key: list[str]) -> DataFrame:
             rows = pa.Table.from_batches(batches).combine_chunks()
             first = rows["_at"].to_numpy() == 1
             codes = pa.concat_arrays([*rows["src"].chunks, *rows["dst"].chunks]).dictionary_encode("encode").indices.to_numpy()
-            rings = cycle_ranks(np.cumsum(first) - 1, codes[: len(first)], codes[len(first) :])
+            *_, rings = joined(np.cumsum(first) - 1, codes[: len(first)], codes[len(first) :])
             yield from rows.select(key).filter(pa.array(first)).append_column("rings", pa.array(rings, pa.int64())).to_batches()
 
     ordered = edges.withColumn("_at", F.row_number().over(Window.partitionBy(*key).orderBy("src", "dst")))
     return ordered.mapInArrow(run, T.StructType([*edges.select(*key).schema, T.StructField("rings", T.LongType())]))
 
 
-def cycle_ranks(graph: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
-    """The number of independent rings of each graph, 0 to the last. Edges may repeat, with their ends in the same order."""
+def joined(graph: np.ndarray, src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(graph, code, root) of each node, and the number of independent rings of each graph, 0 to the last.
+
+    A root is the place of the first node of a connected part. Edges may repeat, with their ends in the same order.
+    """
     wide = int(max(src.max(), dst.max())) + 1
     nodes, ends = np.unique(np.concatenate([graph * wide + src, graph * wide + dst]), return_inverse=True)
     u, v = np.divmod(np.unique(ends[: len(src)] * len(nodes) + ends[len(src) :]), len(nodes))
-    of, many = nodes // wide, int(graph[-1]) + 1
-    root = np.arange(len(nodes))
-    a, b = u, v
+    root, a, b = np.arange(len(nodes)), u, v
     while len(a):
         # The larger of two roots goes to the smallest that it meets; then all nodes go to their roots.
         np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
@@ -150,8 +154,60 @@ def cycle_ranks(graph: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarr
             root = up
         a, b = root[a], root[b]
         a, b = a[a != b], b[a != b]
-    parts = of[root == np.arange(len(nodes))]
-    return np.bincount(of[u], minlength=many) - np.bincount(of, minlength=many) + np.bincount(parts, minlength=many)
+    of, code = np.divmod(nodes, wide)
+    count = lambda graphs: np.bincount(graphs, minlength=int(graph.max()) + 1)
+    return of, code, root, count(of[u]) - count(of) + count(of[root == np.arange(len(nodes))])
+
+
+def _rings_by_blocks(edges: DataFrame) -> DataFrame:
+    """(_graph, rings) of graphs of any size, their edges (_graph, src <= dst, which may repeat) dealt by range into blocks.
+
+    A block counts its own rings, and its connected parts stand for their nodes. A node of several parts links each with the
+    next. Of links between the same two parts all but one close a ring; what is left is a graph of parts, as a rule a small one.
+    Where it isn't, connected components are found of it.
+    """
+    most, node = max(WHOLE, 2), edges.schema["src"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, at = [], 0, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n > most:
+                rows, ids, graph, src, dst, values = coded(held)
+                # The last edge waits, as it may be repeated in what comes.
+                other = np.flatnonzero((graph != graph[-1]) | (src != src[-1]) | (dst != dst[-1]))
+                end = int(other[-1]) + 1 if len(other) else 0
+                yield from block(ids, graph[:end], src[:end], dst[:end], values, at)
+                held, n, at = rows.slice(end, 1).to_batches(), 1, at + 2 * end
+        if n:
+            yield from block(*coded(held)[1:], at)
+
+    def coded(batches: list[pa.RecordBatch]) -> tuple:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        ids, graph = np.unique(rows["_graph"].to_numpy(), return_inverse=True)
+        ends = pa.concat_arrays([*rows["src"].chunks, *rows["dst"].chunks]).dictionary_encode("encode")
+        codes = ends.indices.to_numpy()
+        return rows, ids, graph, codes[: len(graph)], codes[len(graph) :], ends.dictionary
+
+    def block(ids: np.ndarray, graph: np.ndarray, src: np.ndarray, dst: np.ndarray, values: pa.Array, at: int) -> Iterator[pa.RecordBatch]:
+        if len(graph):
+            of, code, root, rings = joined(graph, src, dst)
+            names, none = ["_graph", "node", "part", "n"], lambda kind: pa.nulls(len(rings), kind)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[: len(rings)]), none(values.type), none(pa.int64()), pa.array(rings, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[of]), values.take(pa.array(code)), pa.array(root + at), pa.nulls(len(of), pa.int64())], names=names)
+
+    long = T.LongType()
+    kinds = T.StructType([T.StructField("_graph", long), T.StructField("node", node), T.StructField("part", long), T.StructField("n", long)])
+    order = ["_graph", "src", "dst"]
+    told = stored(edges.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, kinds))
+    before = F.lag("part").over(Window.partitionBy("_graph", "node").orderBy("part"))
+    met = told.where("part IS NOT NULL").withColumn("before", before).where("before IS NOT NULL")
+    links = stored(met.groupBy("_graph", "before", "part").agg((F.count("*") - 1).alias("n")))
+    parts = links.select(F.col("_graph").alias("graph"), F.col("before").alias("src"), F.col("part").alias("dst"))
+    left = ring_count(parts, ["graph"]) if 2 * links.count() <= edges.count() else _rings_by_parts(parts, ["graph"])
+    rings = told.where("part IS NULL").select("_graph", "n").unionByName(links.select("_graph", "n")).unionByName(left.selectExpr("graph AS _graph", "rings AS n"))
+    return rings.groupBy("_graph").agg(F.sum("n").alias("rings"))
 
 
 def _rings_by_parts(edges: DataFrame, key: list[str]) -> DataFrame:
